@@ -66,7 +66,7 @@ def latest_by(
     )
     usable = F.col(value).isNotNull() & F.col("_last").isNotNull()
     outputs = [
-        # max_by keeps the value of a NULL ordering only when no other exists
+        # max_by passes over rows whose ordering is NULL
         F.max_by(value, F.when(usable, F.struct("_last", value))).alias(value)
     ]
     outputs += [F.bool_or(c).alias(c) for c in any_true]
