@@ -7,6 +7,8 @@ same JSON payloads, hour folders and boundary copies as a landed archive.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,10 +18,21 @@ from eventloom import schemas
 START = "1995-02-01"
 
 
+@lru_cache
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Hand the rows of a table of very few scan tasks to all cores.
+
+    A file with a single row group is one task on any cluster, and the JSON work
+    would follow in that task. Tables of many splits are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Output form: instants as times without zone (UTC)."""
     return df.select(
@@ -39,6 +52,7 @@ def _numbered(prefix: str, number: str) -> Column:
     return F.concat(F.lit(prefix), F.col(number).cast("string"))
 
 
+@lru_cache
 def bot_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Known bots: the accounts in debt, in upper case."""
     suppliers = table(spark, sf_dir, "supplier").where("s_acctbal < 0")
@@ -88,7 +102,7 @@ def _pull_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
             _actor(author_id(), author_login()).alias("user"),
         ).alias("pull_request"),
     )
-    return table(spark, sf_dir, "orders").select(
+    return _spread(table(spark, sf_dir, "orders")).select(
         _numbered("P", "o_orderkey").alias("id"),
         F.lit("PullRequestEvent").alias("type"),
         _actor(F.col("o_custkey"), _numbered("user-", "o_custkey")).alias("actor"),
@@ -108,64 +122,56 @@ def responder_id() -> Column:
     return F.when(F.col("l_quantity") > 1, F.col("l_suppkey"))
 
 
-def _responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _responses(rows: DataFrame, return_flag: str, event_type: str, payload: Column) -> DataFrame:
+    identity = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyyMMdd")]
+    return rows.where(F.col("l_returnflag") == return_flag).select(
+        F.concat_ws("-", F.lit("L"), *identity).alias("id"),
+        F.lit(event_type).alias("type"),
+        _actor(F.col("l_suppkey"), responder_login()).alias("actor"),
+        _order_repo().alias("repo"),
+        F.col("l_shipdate").cast("timestamp").alias("created_at"),
+        _json(payload).alias("payload"),
+    )
+
+
+def _all_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    rows = table(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = _spread(table(spark, sf_dir, "lineitem")).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     user = _actor(responder_id(), responder_login())
     time = _iso(F.col("l_shipdate"))
+    is_pull_request = F.col("l_linestatus") == "F"
     pull_request = F.struct(F.col("l_orderkey").alias("number"), (F.col("l_orderkey") + 1000000).alias("id"))
     review = F.struct(
-        pull_request.alias("pull_request"),
-        F.struct(
-            F.when(F.col("l_linestatus") == "F", "approved").otherwise("commented").alias("state"),
-            time.alias("submitted_at"),
-            user.alias("user"),
-        ).alias("review"),
+        F.when(F.col("l_linestatus") == "F", "approved").otherwise("commented").alias("state"),
+        time.alias("submitted_at"),
+        user.alias("user"),
     )
     line_comment = F.struct(
-        pull_request.alias("pull_request"),
-        F.struct(
-            time.alias("created_at"), F.col("l_partkey").alias("pull_request_review_id"), user.alias("user")
-        ).alias("comment"),
+        time.alias("created_at"), F.col("l_partkey").alias("pull_request_review_id"), user.alias("user")
     )
     link = F.struct(_numbered("https://example.org/pulls/", "l_orderkey").alias("url"))
+    issue = F.struct(F.col("l_orderkey").alias("number"), F.when(is_pull_request, link).alias("pull_request"))
     comment = F.struct(
-        F.struct(
-            F.col("l_orderkey").alias("number"), F.when(F.col("l_linestatus") == "F", link).alias("pull_request")
-        ).alias("issue"),
-        F.struct(
-            F.when(F.col("l_quantity") < 50, time).otherwise("unknown").alias("created_at"), user.alias("user")
-        ).alias("comment"),
+        F.when(F.col("l_quantity") < 50, time).otherwise("unknown").alias("created_at"), user.alias("user")
     )
-    kind = F.col("l_returnflag")
-    return rows.select(
-        F.concat_ws(
-            "-",
-            F.lit("L"),
-            "l_orderkey",
-            "l_linenumber",
-            "l_partkey",
-            "l_suppkey",
-            F.date_format("l_shipdate", "yyyyMMdd"),
-        ).alias("id"),
-        F.when(kind == "R", "PullRequestReviewEvent")
-        .when(kind == "A", "PullRequestReviewCommentEvent")
-        .otherwise("IssueCommentEvent")
-        .alias("type"),
-        _actor(F.col("l_suppkey"), responder_login()).alias("actor"),
-        _order_repo().alias("repo"),
-        F.col("l_shipdate").cast("timestamp").alias("created_at"),
-        F.when(kind == "R", _json(review)).when(kind == "A", _json(line_comment)).otherwise(_json(comment)).alias("payload"),
+    reviews = F.struct(pull_request.alias("pull_request"), review.alias("review"))
+    line_comments = F.struct(pull_request.alias("pull_request"), line_comment.alias("comment"))
+    comments = F.struct(issue.alias("issue"), comment.alias("comment"))
+    return (
+        _responses(rows, "R", "PullRequestReviewEvent", reviews)
+        .unionByName(_responses(rows, "A", "PullRequestReviewCommentEvent", line_comments))
+        .unionByName(_responses(rows, "N", "IssueCommentEvent", comments))
     )
 
 
+@lru_cache
 def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table in raw form."""
     kind = F.col("event_type")
     number = F.get_json_object("props", "$.k")
     half = F.when(F.dayofmonth("ts") <= 15, "early").otherwise("late")
     bot = F.when(F.col("value") > 150, "[bot]").otherwise("")
-    return table(spark, sf_dir, "events").select(
+    return _spread(table(spark, sf_dir, "events")).select(
         _numbered("E", "event_id").alias("id"),
         F.when(kind == "view", "PushEvent")
         .when(kind == "click", "WatchEvent")
@@ -188,15 +194,16 @@ def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def file_times(events: DataFrame) -> DataFrame:
     """One row per file an event sits in: its own hour, and in the first minute also the one before."""
     own = F.col("created_at")
-    before = F.when(F.minute(own) == 0, own - F.expr("INTERVAL 1 HOUR"))
-    return events.withColumn("file_time", F.explode(F.array_compact(F.array(own, before))))
+    both = F.array(own, own - F.expr("INTERVAL 1 HOUR"))
+    return events.withColumn("file_time", F.explode(F.when(F.minute(own) == 0, both).otherwise(F.array(own))))
 
 
+@lru_cache
 def archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze rows of the whole derived archive."""
     rows = (
         _pull_requests(spark, sf_dir)
-        .unionByName(_responses(spark, sf_dir))
+        .unionByName(_all_responses(spark, sf_dir))
         .unionByName(activity(spark, sf_dir))
     )
     return file_times(rows).select(

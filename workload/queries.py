@@ -445,7 +445,10 @@ def _table_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _lifecycle_by_year(spark: SparkSession, sf_dir: str, settings: lc.LifecycleSettings) -> DataFrame:
     """Refresh the lifecycle table once per year, with what had landed by its end."""
-    prs, responses = _table_prs(spark, sf_dir), _table_responses(spark, sf_dir)
+    prs = _table_prs(spark, sf_dir)
+    stored = scratch_path(spark, "responses")
+    sinks.write_table(_table_responses(spark, sf_dir), stored)
+    responses = spark.read.parquet(stored)
     times = prs.agg(F.year(F.min("landed_at")), F.year(F.max("landed_at"))).first()
     last_response = responses.agg(F.year(F.max("responded_at"))).first()[0]
     root = scratch_path(spark, "lifecycle")
