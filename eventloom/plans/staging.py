@@ -2,7 +2,8 @@
 
 Order of work: filter by partition, type and time at the scan; parse the few
 payload fields; then deduplicate the narrow rows. The payload itself, by far
-the widest column, never reaches the shuffle.
+the widest column, never reaches the shuffle. Bot flags come last and depend on
+the seed only, so stored rows need no rewrite when the seed changes.
 """
 
 from __future__ import annotations
@@ -19,7 +20,85 @@ from eventloom.operators.grouped import dedupe_events
 ARCHIVE_START = "2015-01-01"
 
 
-def _stage(bronze: DataFrame, seed: DataFrame, event_type: str, start: str, **fields: Column) -> DataFrame:
+def _text(path: str) -> Column:
+    return F.col(f"p.{path}")
+
+
+def _long(path: str) -> Column:
+    return try_long(_text(path))
+
+
+def _time(path: str) -> Column:
+    return try_time(_text(path))
+
+
+def _pull_request_fields() -> dict[str, Column]:
+    return {
+        "action": _text("action"),
+        "pr_number": _long("number"),
+        "pr_id": _long("pull_request.id"),
+        "pr_author_login": _text("pull_request.user.login"),
+        "pr_author_id": _long("pull_request.user.id"),
+        "pr_created_at": _time("pull_request.created_at"),
+        "pr_closed_at": _time("pull_request.closed_at"),
+        "pr_merged_at": _time("pull_request.merged_at"),
+        "pr_state": _text("pull_request.state"),
+    }
+
+
+def _review_fields() -> dict[str, Column]:
+    return {
+        "pr_number": _long("pull_request.number"),
+        "pr_id": _long("pull_request.id"),
+        "review_state": _text("review.state"),
+        "reviewed_at": _time("review.submitted_at"),
+        "reviewer_login": _text("review.user.login"),
+        "reviewer_id": _long("review.user.id"),
+    }
+
+
+def _review_comment_fields() -> dict[str, Column]:
+    return {
+        "pr_number": _long("pull_request.number"),
+        "pr_id": _long("pull_request.id"),
+        **_comment_fields(),
+        "pull_request_review_id": _long("comment.pull_request_review_id"),
+    }
+
+
+def _issue_comment_fields() -> dict[str, Column]:
+    return {
+        "issue_number": _long("issue.number"),
+        # only issues that are pull requests carry this link
+        "is_pr_comment": _text("issue.pull_request.url").isNotNull(),
+        **_comment_fields(),
+    }
+
+
+def _comment_fields() -> dict[str, Column]:
+    return {
+        "commented_at": _time("comment.created_at"),
+        "commenter_login": _text("comment.user.login"),
+        "commenter_id": _long("comment.user.id"),
+    }
+
+
+def _push_fields() -> dict[str, Column]:
+    return {"distinct_commit_count": _long("distinct_size")}
+
+
+_FIELDS = {
+    "PullRequestEvent": _pull_request_fields,
+    "PullRequestReviewEvent": _review_fields,
+    "PullRequestReviewCommentEvent": _review_comment_fields,
+    "IssueCommentEvent": _issue_comment_fields,
+    "PushEvent": _push_fields,
+    "WatchEvent": dict,
+}
+
+
+def unnest(bronze: DataFrame, event_type: str, start: str = ARCHIVE_START) -> DataFrame:
+    """Deduplicated rows of one event type from ``start`` on, without bot flags."""
     kept = bronze.where(
         (F.col("type") == event_type)
         & (F.col("created_at") >= F.lit(start).cast("timestamp"))
@@ -35,96 +114,43 @@ def _stage(bronze: DataFrame, seed: DataFrame, event_type: str, start: str, **fi
         F.col("actor.login").alias("actor_login"),
         F.col("repo.id").alias("repo_id"),
         F.col("repo.name").alias("repo_name"),
-        *[column.alias(name) for name, column in fields.items()],
+        *[column.alias(name) for name, column in _FIELDS[event_type]().items()],
         "dt",
         "hour",
     )
-    single = dedupe_events(narrow, "event_id", "event_created_at", ["dt", "hour"]).drop("dt", "hour")
-    return with_bot_flag(single, "actor_login", seed, "is_bot_actor")
-
-
-def _text(path: str) -> Column:
-    return F.col(f"p.{path}")
-
-
-def _long(path: str) -> Column:
-    return try_long(_text(path))
+    return dedupe_events(narrow, "event_id", "event_created_at", ["dt", "hour"]).drop("dt", "hour")
 
 
-def _time(path: str) -> Column:
-    return try_time(_text(path))
+def flag_bots(unnested: DataFrame, seed: DataFrame) -> DataFrame:
+    """Flags for the acting account and, on pull requests, for the author."""
+    flagged = with_bot_flag(unnested, "actor_login", seed, "is_bot_actor")
+    if "pr_author_login" in unnested.columns:
+        flagged = with_bot_flag(flagged, "pr_author_login", seed, "is_bot_pr_author")
+    return flagged
 
 
 def stage_pull_requests(bronze: DataFrame, seed: DataFrame, start: str = ARCHIVE_START) -> DataFrame:
-    staged = _stage(
-        bronze,
-        seed,
-        "PullRequestEvent",
-        start,
-        action=_text("action"),
-        pr_number=_long("number"),
-        pr_id=_long("pull_request.id"),
-        pr_author_login=_text("pull_request.user.login"),
-        pr_author_id=_long("pull_request.user.id"),
-        pr_created_at=_time("pull_request.created_at"),
-        pr_closed_at=_time("pull_request.closed_at"),
-        pr_merged_at=_time("pull_request.merged_at"),
-        pr_state=_text("pull_request.state"),
-    )
-    return with_bot_flag(staged, "pr_author_login", seed, "is_bot_pr_author")
+    return flag_bots(unnest(bronze, "PullRequestEvent", start), seed)
 
 
 def stage_reviews(bronze: DataFrame, seed: DataFrame, start: str = ARCHIVE_START) -> DataFrame:
-    return _stage(
-        bronze,
-        seed,
-        "PullRequestReviewEvent",
-        start,
-        pr_number=_long("pull_request.number"),
-        pr_id=_long("pull_request.id"),
-        review_state=_text("review.state"),
-        reviewed_at=_time("review.submitted_at"),
-        reviewer_login=_text("review.user.login"),
-        reviewer_id=_long("review.user.id"),
-    )
+    return flag_bots(unnest(bronze, "PullRequestReviewEvent", start), seed)
 
 
 def stage_review_comments(bronze: DataFrame, seed: DataFrame, start: str = ARCHIVE_START) -> DataFrame:
-    return _stage(
-        bronze,
-        seed,
-        "PullRequestReviewCommentEvent",
-        start,
-        pr_number=_long("pull_request.number"),
-        pr_id=_long("pull_request.id"),
-        commented_at=_time("comment.created_at"),
-        commenter_login=_text("comment.user.login"),
-        commenter_id=_long("comment.user.id"),
-        pull_request_review_id=_long("comment.pull_request_review_id"),
-    )
+    return flag_bots(unnest(bronze, "PullRequestReviewCommentEvent", start), seed)
 
 
 def stage_issue_comments(bronze: DataFrame, seed: DataFrame, start: str = ARCHIVE_START) -> DataFrame:
-    return _stage(
-        bronze,
-        seed,
-        "IssueCommentEvent",
-        start,
-        issue_number=_long("issue.number"),
-        # only issues that are pull requests carry this link
-        is_pr_comment=_text("issue.pull_request.url").isNotNull(),
-        commented_at=_time("comment.created_at"),
-        commenter_login=_text("comment.user.login"),
-        commenter_id=_long("comment.user.id"),
-    )
+    return flag_bots(unnest(bronze, "IssueCommentEvent", start), seed)
 
 
 def stage_pushes(bronze: DataFrame, seed: DataFrame, start: str = ARCHIVE_START) -> DataFrame:
-    return _stage(bronze, seed, "PushEvent", start, distinct_commit_count=_long("distinct_size"))
+    return flag_bots(unnest(bronze, "PushEvent", start), seed)
 
 
 def stage_watches(bronze: DataFrame, seed: DataFrame, start: str = ARCHIVE_START) -> DataFrame:
-    return _stage(bronze, seed, "WatchEvent", start)
+    return flag_bots(unnest(bronze, "WatchEvent", start), seed)
 
 
 def stage_timeline(bronze: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.operators.rows import upsert
+from eventloom.operators.rows import upsert, without_keys
 
 
 def write_bronze(df: DataFrame, root: str) -> None:
@@ -67,35 +67,28 @@ def rows_past_mark(df: DataFrame, time_column: str, mark) -> DataFrame:
     return timed if mark is None else timed.where(F.col(time_column) > F.lit(mark))
 
 
-def append_incremental(
-    df: DataFrame,
-    path: str,
-    time_column: str,
-    *,
-    overlap_days: int = 0,
-    keys: Sequence[str] | None = None,
-) -> None:
+def append_incremental(df: DataFrame, path: str, time_column: str) -> None:
     """Append the rows past the table's high-water mark.
 
-    With ``overlap_days`` the mark is moved back by that much, and rows whose
-    ``keys`` (all columns by default) are stored already are left out. This
-    picks up rows that landed out of order or share the second of the mark.
+    Rows that land out of order, or share the second of the mark, are lost;
+    ``append_new`` finds those by key.
+    """
+    spark = df.sparkSession
+    mark = high_water_mark(spark.read.parquet(path), time_column) if path_exists(spark, path) else None
+    rows_past_mark(df, time_column, mark).write.mode("append").parquet(path)
+
+
+def append_new(df: DataFrame, path: str, keys: Sequence[str], time_column: str, since: str) -> None:
+    """Append the rows from ``since`` on whose keys are not stored yet, by day.
+
+    ``df`` has one row per key. Only the stored days from ``since`` on are read.
     """
     spark = df.sparkSession
-    if not path_exists(spark, path):
-        rows_past_mark(df, time_column, None).write.mode("append").parquet(path)
-        return
-    stored = spark.read.parquet(path)
-    mark = high_water_mark(stored, time_column)
-    if mark is None or not overlap_days:
-        rows_past_mark(df, time_column, mark).write.mode("append").parquet(path)
-        return
-    since = F.lit(mark) - F.make_dt_interval(days=F.lit(overlap_days))
-    keys = list(keys or df.columns)
-    recent = df.where(F.col(time_column) > since).dropDuplicates(keys)
-    known = stored.where(F.col(time_column) > since).select(*[F.col(k).alias(f"_known_{k}") for k in keys])
-    same = [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys]
-    recent.join(known, same, "left_anti").write.mode("append").parquet(path)
+    rows = df.where(F.col(time_column) >= F.lit(since).cast("timestamp"))
+    if path_exists(spark, path):
+        stored = spark.read.parquet(path).where(F.col("day") >= F.lit(since).cast("date"))
+        rows = without_keys(rows, stored, keys)
+    _by_day(rows, time_column, keys).write.mode("append").partitionBy("day").parquet(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -372,13 +372,14 @@ def append_past_mark(spark, sf_dir):
 
 
 @query
-def append_with_overlap(spark, sf_dir):
-    """With an overlap as long as the data, they are."""
+def append_by_key(spark, sf_dir):
+    """Found by key from the first day on, they are."""
     path = scratch_path(spark, "appended")
     events = table(spark, sf_dir, "events")
-    sinks.append_incremental(_first_batch(events), path, "ts")
-    sinks.append_incremental(events, path, "ts", overlap_days=31, keys=["event_id"])
-    return spark.read.parquet(path)
+    since = str(events.agg(F.min("ts")).first()[0].date())
+    sinks.append_new(_first_batch(events), path, ["event_id"], "ts", since)
+    sinks.append_new(events, path, ["event_id"], "ts", since)
+    return spark.read.parquet(path).drop("day")
 
 
 @query
@@ -550,8 +551,16 @@ def check_same_rows(spark, sf_dir):
 @query
 def check_summary(spark, sf_dir):
     """The checks on the staged and final tables of the derived archive, as a report."""
-    prs = _staged(staging.stage_pull_requests, spark, sf_dir)
-    fact = marts.fct_pr_review_latency(_lifecycle(spark, sf_dir))
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        path = scratch_path(spark, name)
+        sinks.write_table(df, path)
+        return spark.read.parquet(path)
+
+    # checks read stored tables, so the work before them is done once
+    prs = keep("prs", _staged(staging.stage_pull_requests, spark, sf_dir))
+    candidates = keep("candidates", _candidates(spark, sf_dir))
+    fact = keep("fact", marts.fct_pr_review_latency(lc.pr_lifecycle(prs, candidates)))
     return checks.check_report(
         [
             checks.Check("pull_request_event_id_unique", checks.check_unique(prs, "event_id")),
@@ -561,6 +570,6 @@ def check_summary(spark, sf_dir):
             checks.Check("latency_not_negative", checks.check_between(fact, "review_latency_seconds", low=0)),
             checks.Check("review_after_opening", checks.check_order(fact, "opened_at", "first_review_at")),
             checks.Check("first_pull_request_is_earliest", checks.check_first_is_earliest(fact, lc.human_opens(prs))),
-            checks.Check("review_has_human_source", checks.check_attributable(fact, _candidates(spark, sf_dir))),
+            checks.Check("review_has_human_source", checks.check_attributable(fact, candidates)),
         ]
     )
