@@ -10,6 +10,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def is_missing(column: str) -> Column:
+    return F.col(column).isNull()
+
+
+def is_outside(column: str, low=None, high=None) -> Column:
+    """Value outside [low, high]; a NULL value is not."""
+    bounds = []
+    if low is not None:
+        bounds.append(F.col(column) >= low)
+    if high is not None:
+        bounds.append(F.col(column) <= high)
+    if not bounds:
+        raise ValueError("give a lower or an upper bound")
+    return ~reduce(lambda a, b: a & b, bounds)
+
+
+def is_out_of_order(earlier: str, later: str) -> Column:
+    return F.col(later) < F.col(earlier)
+
+
 def check_unique(df: DataFrame, column: str) -> DataFrame:
     """Values that occur more than once; NULLs are not counted."""
     return (
@@ -21,7 +41,7 @@ def check_unique(df: DataFrame, column: str) -> DataFrame:
 
 
 def check_not_null(df: DataFrame, column: str) -> DataFrame:
-    return df.where(F.col(column).isNull())
+    return df.where(is_missing(column))
 
 
 def check_accepted_values(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
@@ -42,20 +62,13 @@ def check_between(
     df: DataFrame, column: str, low=None, high=None, row_condition: Column | str | None = None
 ) -> DataFrame:
     """Rows outside [low, high] among those meeting ``row_condition``; NULL passes."""
-    bounds = []
-    if low is not None:
-        bounds.append(F.col(column) >= low)
-    if high is not None:
-        bounds.append(F.col(column) <= high)
-    if not bounds:
-        raise ValueError("give a lower or an upper bound")
     rows = df if row_condition is None else df.where(row_condition)
-    return rows.where(~reduce(lambda a, b: a & b, bounds))
+    return rows.where(is_outside(column, low, high))
 
 
 def check_order(df: DataFrame, earlier: str, later: str) -> DataFrame:
     """Rows where ``later`` lies before ``earlier``; NULLs pass."""
-    return df.where(F.col(later) < F.col(earlier))
+    return df.where(is_out_of_order(earlier, later))
 
 
 def check_first_is_earliest(lifecycle: DataFrame, opens: DataFrame) -> DataFrame:
@@ -92,18 +105,34 @@ def check_attributable(fact: DataFrame, responses: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Check:
+    """A named check: the failing ``rows``, or those of ``rows`` meeting ``failing``."""
+
     name: str
-    failures: DataFrame
+    rows: DataFrame
+    failing: Column | None = None
     severity: str = "error"
 
 
 def check_report(checks: Sequence[Check]) -> DataFrame:
-    """One row per check: name, severity, number of failing rows and status."""
-    counted = [
-        c.failures.agg(F.count("*").alias("failures")).select(
-            F.lit(c.name).alias("name"), F.lit(c.severity).alias("severity"), "failures"
-        )
-        for c in checks
-    ]
+    """One row per check: name, severity, number of failing rows and status.
+
+    Checks with a ``failing`` condition on the same DataFrame share one scan.
+    """
+    by_table: dict[int, list[Check]] = {}
+    for check in checks:
+        by_table.setdefault(id(check.rows), []).append(check)
+    counted = [_count_failures(group) for group in by_table.values()]
     status = F.when(F.col("failures") == 0, "pass").when(F.col("severity") == "warn", "warn").otherwise("fail")
     return reduce(DataFrame.unionByName, counted).withColumn("status", status)
+
+
+def _count_failures(checks: list[Check]) -> DataFrame:
+    counts = [
+        F.count("*") if c.failing is None else F.count_if(F.coalesce(c.failing, F.lit(False))) for c in checks
+    ]
+    totals = checks[0].rows.agg(*[count.alias(f"_{i}") for i, count in enumerate(counts)])
+    lines = [
+        F.struct(F.lit(c.name).alias("name"), F.lit(c.severity).alias("severity"), F.col(f"_{i}").alias("failures"))
+        for i, c in enumerate(checks)
+    ]
+    return totals.select(F.inline(F.array(*lines)))

@@ -73,3 +73,12 @@ MISSING_HOURS = T.StructType(
         T.StructField("recorded_at", T.TimestampType()),
     ]
 )
+
+CANDIDATES = T.StructType(
+    [
+        T.StructField("repo_id", T.LongType()),
+        T.StructField("pr_number", T.LongType()),
+        T.StructField("responder_id", T.LongType()),
+        T.StructField("responded_at", T.TimestampType()),
+    ]
+)

@@ -24,6 +24,11 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings the operators need to a session made elsewhere."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    first_split = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if not spark.sparkContext.master.startswith("local") and spark.conf.get(first_split, None) is None:
+        # start shuffles with enough partitions for all cores; AQE joins small ones
+        planned = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.conf.set(first_split, max(planned, 3 * spark.sparkContext.defaultParallelism))
     return spark
 
 

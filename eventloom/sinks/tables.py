@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventloom.operators.rows import upsert, without_keys
 
@@ -78,19 +80,39 @@ def append_incremental(df: DataFrame, path: str, time_column: str) -> None:
     rows_past_mark(df, time_column, mark).write.mode("append").parquet(path)
 
 
-def append_new(df: DataFrame, path: str, keys: Sequence[str], time_column: str, since: str) -> None:
-    """Append the rows from ``since`` on whose keys are not stored yet, by day.
+def append_new(
+    df: DataFrame, path: str, keys: Sequence[str], time_column: str, since: str | None = None
+) -> None:
+    """Append the rows whose keys are not stored yet, by day; rows without a time are left out.
 
-    ``df`` has one row per key. Only the stored days from ``since`` on are read.
+    ``df`` has one row per key. Rows before the day ``since`` are passed over;
+    by default none are. Only the stored days the rows can be in are read.
     """
     spark = df.sparkSession
-    rows = df.where(F.col(time_column) >= F.lit(since).cast("timestamp"))
+    rows = df.where(F.col(time_column).isNotNull())
+    if since:
+        rows = rows.where(F.col(time_column) >= F.lit(since).cast("timestamp"))
     if path_exists(spark, path):
-        stored = spark.read.parquet(path).where(F.col("day") >= F.lit(since).cast("date"))
-        rows = without_keys(rows, stored, keys)
+        first = F.lit(since).cast("date") if since else rows.agg(F.min(F.col(time_column).cast("date"))).scalar()
+        rows = without_keys(rows, read_by_day(spark, path, df.schema).where(F.col("day") >= first), keys)
     _by_day(rows, time_column, keys).write.mode("append").partitionBy("day").parquet(path)
 
 
+def read_by_day(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A table stored by day; with its schema given, it may hold no file yet."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("day", T.DateType())])).parquet(path)
+
+
+def last_day(spark: SparkSession, path: str) -> date | None:
+    """Latest day of a table stored by day, or None; lists files and opens none."""
+    if not path_exists(spark, path):
+        return None
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    if "day" not in files.columns:
+        return None
+    return files.agg(F.max(F.col("day").cast("date"))).first()[0]
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     return _status(spark, path) is not None
 
@@ -113,16 +135,20 @@ def read_published(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.parquet(f"{root}/version={versions[-1]}") if versions else None
 
 
-def publish(df: DataFrame, root: str) -> int:
+def publish(df: DataFrame, root: str, keep: int = 3) -> int:
     """Write ``df`` as the next version; readers move over once it is finished.
 
     ``df`` may read an earlier version of the same table. A job that dies half
     way leaves no success marker, and its folder is replaced by the next try.
+    The latest ``keep`` versions stay for readers that have begun.
     """
     spark = df.sparkSession
     versions = published_versions(spark, root)
     version = versions[-1] + 1 if versions else 1
     df.write.mode("overwrite").parquet(f"{root}/version={version}")
+    for old in versions[: max(0, len(versions) + 1 - keep)]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/version={old}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
     return version
 
 

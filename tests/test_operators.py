@@ -114,14 +114,16 @@ def test_checks_find_their_violations(spark):
     report = checks.check_report(
         [
             checks.Check("a", checks.check_not_null(df, "id")),
-            checks.Check("b", checks.check_accepted_values(df, "action", ["opened"]), "warn"),
-            checks.Check("c", checks.check_not_null(df, "high")),
+            checks.Check("b", checks.check_accepted_values(df, "action", ["opened"]), severity="warn"),
+            checks.Check("c", df, checks.is_missing("high")),
+            checks.Check("d", df, checks.is_outside("low", low=0)),
         ]
     )
     assert {tuple(r) for r in report.collect()} == {
         ("a", "error", 2, "fail"),
         ("b", "warn", 1, "warn"),
         ("c", "error", 0, "pass"),
+        ("d", "error", 1, "fail"),
     }
 
 

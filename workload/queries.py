@@ -564,11 +564,13 @@ def check_summary(spark, sf_dir):
     return checks.check_report(
         [
             checks.Check("pull_request_event_id_unique", checks.check_unique(prs, "event_id")),
-            checks.Check("pull_request_action_known", checks.check_accepted_values(prs, "action", ["opened"]), "warn"),
-            checks.Check("pull_request_number_not_null", checks.check_not_null(prs, "pr_number")),
+            checks.Check(
+                "pull_request_action_known", checks.check_accepted_values(prs, "action", ["opened"]), severity="warn"
+            ),
+            checks.Check("pull_request_number_not_null", prs, checks.is_missing("pr_number")),
             checks.Check("fact_key_unique", checks.check_unique_combination(fact, lc.PR_KEY)),
-            checks.Check("latency_not_negative", checks.check_between(fact, "review_latency_seconds", low=0)),
-            checks.Check("review_after_opening", checks.check_order(fact, "opened_at", "first_review_at")),
+            checks.Check("latency_not_negative", fact, checks.is_outside("review_latency_seconds", low=0)),
+            checks.Check("review_after_opening", fact, checks.is_out_of_order("opened_at", "first_review_at")),
             checks.Check("first_pull_request_is_earliest", checks.check_first_is_earliest(fact, lc.human_opens(prs))),
             checks.Check("review_has_human_source", checks.check_attributable(fact, candidates)),
         ]
