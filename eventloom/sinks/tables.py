@@ -123,6 +123,11 @@ def _status(spark: SparkSession, path: str):
     return files.globStatus(hadoop_path) or None
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def published_versions(spark: SparkSession, root: str) -> list[int]:
     """Finished versions below ``root``, oldest first."""
     done = _status(spark, f"{root}/version=*/_SUCCESS") or []
@@ -147,8 +152,7 @@ def publish(df: DataFrame, root: str, keep: int = 3) -> int:
     version = versions[-1] + 1 if versions else 1
     df.write.mode("overwrite").parquet(f"{root}/version={version}")
     for old in versions[: max(0, len(versions) + 1 - keep)]:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/version={old}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        remove_folder(spark, f"{root}/version={old}")
     return version
 
 
