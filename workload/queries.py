@@ -119,13 +119,13 @@ def bot_flag(spark, sf_dir):
 
 @query
 def json_unnest(spark, sf_dir):
-    fields = F.from_json("props", "k string, z string")
-    return table(spark, sf_dir, "events").select(
+    parsed = table(spark, sf_dir, "events").withColumn("p", F.from_json("props", "k string, z string"))
+    return parsed.select(
         "event_id",
-        fields["k"].alias("k_text"),
-        try_long(fields["k"]).alias("k"),
+        F.col("p.k").alias("k_text"),
+        try_long(F.col("p.k")).alias("k"),
         try_long(F.col("event_type")).alias("not_a_number"),
-        fields["z"].isNotNull().alias("has_z"),
+        F.col("p.z").isNotNull().alias("has_z"),
     )
 
 
@@ -410,6 +410,31 @@ def scd2_history(spark, sf_dir):
     return history
 
 
+def _snapshots(spark: SparkSession, sf_dir: str, dim: Query, key: str, label: str) -> DataFrame:
+    """Two snapshots of a dimension: after half of the events, and after all."""
+    events = table(spark, sf_dir, "events")
+    half = F.date_trunc("day", events.agg(F.min("ts")).scalar()) + days(15)
+    end = F.date_trunc("day", events.agg(F.max("ts")).scalar()) + days(1)
+    sources = _activity_sources(spark, sf_dir)
+    history = None
+    for as_of in (half, end):
+        current = dim(**{name: df.where(F.col("event_created_at") < as_of) for name, df in sources.items()})
+        if history is None:
+            history = empty_history(current, key, [label])
+        history = scd2_snapshot(history, current, key, [label], as_of)
+    return history
+
+
+@query
+def snapshot_repos(spark, sf_dir):
+    return _snapshots(spark, sf_dir, marts.dim_repo, "repo_id", "repo_name")
+
+
+@query
+def snapshot_actors(spark, sf_dir):
+    return _snapshots(spark, sf_dir, marts.dim_actor, "actor_id", "actor_login")
+
+
 def _table_prs(spark: SparkSession, sf_dir: str) -> DataFrame:
     none = F.lit(None).cast("timestamp")
     return table(spark, sf_dir, "orders").select(
