@@ -128,7 +128,9 @@ def test_checks_find_their_violations(spark):
 
 
 def test_attributable_needs_key_and_time(spark):
-    fact = spark.createDataFrame([(1, 1, START), (1, 2, START), (1, 3, None)], "repo_id int, pr_number int, first_review_at timestamp")
+    fact = spark.createDataFrame(
+        [(1, 1, START), (1, 2, START), (1, 3, None)], "repo_id int, pr_number int, first_review_at timestamp"
+    )
     answers = spark.createDataFrame(
         [(1, 1, START), (1, 1, START), (1, 2, START + timedelta(seconds=1)), (2, 2, START)],
         "repo_id int, pr_number int, responded_at timestamp",

@@ -22,7 +22,12 @@ def test_mark_and_append(spark, tmp_path):
     path = str(tmp_path / "t")
     first = [(1, DAY, "a"), (1, DAY + timedelta(hours=2), "b"), (1, None, "no time")]
     tables.append_incremental(frame(spark, first), path, "t")
-    more = [*first, (1, DAY + timedelta(hours=1), "late"), (1, DAY + timedelta(hours=2), "same second"), (1, DAY + timedelta(hours=3), "c")]
+    more = [
+        *first,
+        (1, DAY + timedelta(hours=1), "late"),
+        (1, DAY + timedelta(hours=2), "same second"),
+        (1, DAY + timedelta(hours=3), "c"),
+    ]
     tables.append_incremental(frame(spark, more), path, "t")
     tables.append_incremental(frame(spark, more), path, "t")
     assert values(spark.read.parquet(path)) == ["a", "b", "c"]

@@ -35,9 +35,8 @@ def _spread(df: DataFrame) -> DataFrame:
 
 def plain(df: DataFrame) -> DataFrame:
     """Output form: instants as times without zone (UTC)."""
-    return df.select(
-        *[F.col(f.name).cast("timestamp_ntz") if f.dataType.typeName() == "timestamp" else F.col(f.name) for f in df.schema]
-    )
+    instants = {f.name for f in df.schema if f.dataType.typeName() == "timestamp"}
+    return df.select(*[F.col(c).cast("timestamp_ntz") if c in instants else F.col(c) for c in df.columns])
 
 
 def _iso(time: Column) -> Column:

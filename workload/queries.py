@@ -23,8 +23,17 @@ from eventloom.sinks import tables as sinks
 from eventloom.sources import hours
 from eventloom.sources.bronze import landed_hours, read_bronze
 from eventloom.sources.raw import adapt_timeline, read_raw_events, to_bronze
-from workload.archive import START, activity, archive, author_id, author_login, bot_seed, file_times
-from workload.archive import order_repo_id, plain, responder_id, table
+from workload.archive import (
+    START,
+    activity,
+    archive,
+    author_login,
+    bot_seed,
+    file_times,
+    order_repo_id,
+    plain,
+    table,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -313,10 +322,10 @@ def landing_summary(spark, sf_dir):
 def _write_hour_files(spark: SparkSession, sf_dir: str, path: str) -> None:
     """The events table as gzip JSON, one folder named like its hour file each."""
     rows = file_times(activity(spark, sf_dir))
-    common = F.to_json(
-        F.struct("id", "type", "actor", "repo", F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("created_at"))
-    )
-    line = F.concat(F.expr("substring(head, 1, length(head) - 1)"), F.lit(', "payload": '), F.col("payload"), F.lit("}"))
+    created = F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("created_at")
+    common = F.to_json(F.struct("id", "type", "actor", "repo", created))
+    open_object = F.expr("substring(head, 1, length(head) - 1)")
+    line = F.concat(open_object, F.lit(', "payload": '), F.col("payload"), F.lit("}"))
     name = F.concat(F.date_format("file_time", "yyyy-MM-dd-"), F.hour("file_time").cast("string"), F.lit(".json"))
     (
         rows.select(common.alias("head"), "payload", name.alias("file"))
@@ -437,6 +446,8 @@ def snapshot_actors(spark, sf_dir):
 
 def _table_prs(spark: SparkSession, sf_dir: str) -> DataFrame:
     none = F.lit(None).cast("timestamp")
+    # one status lands 200 days late
+    delay = F.when(F.col("o_orderstatus") == "P", days(200)).otherwise(days(0))
     return table(spark, sf_dir, "orders").select(
         order_repo_id().alias("repo_id"),
         F.col("o_orderkey").alias("pr_number"),
@@ -448,10 +459,7 @@ def _table_prs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("opened").alias("action"),
         F.lit(False).alias("is_bot_pr_author"),
         F.col("o_orderdate").cast("timestamp").alias("event_created_at"),
-        # one status lands 200 days late
-        (F.col("o_orderdate").cast("timestamp") + F.when(F.col("o_orderstatus") == "P", days(200)).otherwise(days(0))).alias(
-            "landed_at"
-        ),
+        (F.col("o_orderdate").cast("timestamp") + delay).alias("landed_at"),
     )
 
 
@@ -535,7 +543,8 @@ def check_between(spark, sf_dir):
 def check_order(spark, sf_dir):
     """Line items shipped before their order was placed."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
+    lines = table(spark, sf_dir, "lineitem").select(columns)
     joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
     return checks.check_order(joined, "o_orderdate", "l_shipdate")
 
