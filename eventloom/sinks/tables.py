@@ -12,18 +12,23 @@ from pyspark.sql import types as T
 from eventloom.operators.rows import upsert, without_keys
 
 
+# an hour is about 100 MB: several row groups, so that types lie in different ones
+BRONZE_ROW_GROUP_BYTES = 16 * 1024 * 1024
+
+
 def write_bronze(df: DataFrame, root: str) -> None:
     """Replace the (dt, hour) partitions present in ``df`` and leave the others.
 
     No shuffle: each hour file is one task already. The writer needs rows sorted
     by partition anyway; sorting by type too lets a scan for one event type skip
-    the row groups of all others, whose payloads are most of the bytes.
+    the row groups and pages of all others, whose payloads are most of the bytes.
     """
     (
         df.sortWithinPartitions("dt", "hour", "type")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
+        .option("parquet.block.size", BRONZE_ROW_GROUP_BYTES)
         .partitionBy("dt", "hour")
         .parquet(root)
     )
