@@ -121,6 +121,12 @@ def responder_id() -> Column:
     return F.when(F.col("l_quantity") > 1, F.col("l_suppkey"))
 
 
+def _response_time() -> Column:
+    """Shipping day, with a time of day from line number and quantity."""
+    minutes = (F.col("l_quantity") - 2).cast("int")
+    return F.col("l_shipdate").cast("timestamp") + F.make_dt_interval(hours=F.col("l_linenumber"), mins=minutes)
+
+
 def _responses(rows: DataFrame, return_flag: str, event_type: str, payload: Column) -> DataFrame:
     identity = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyyMMdd")]
     return rows.where(F.col("l_returnflag") == return_flag).select(
@@ -128,7 +134,7 @@ def _responses(rows: DataFrame, return_flag: str, event_type: str, payload: Colu
         F.lit(event_type).alias("type"),
         _actor(F.col("l_suppkey"), responder_login()).alias("actor"),
         _order_repo().alias("repo"),
-        F.col("l_shipdate").cast("timestamp").alias("created_at"),
+        _response_time().alias("created_at"),
         _json(payload).alias("payload"),
     )
 
@@ -137,7 +143,7 @@ def _all_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
     rows = _spread(table(spark, sf_dir, "lineitem")).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     user = _actor(responder_id(), responder_login())
-    time = _iso(F.col("l_shipdate"))
+    time = _iso(_response_time())
     is_pull_request = F.col("l_linestatus") == "F"
     pull_request = F.struct(F.col("l_orderkey").alias("number"), (F.col("l_orderkey") + 1000000).alias("id"))
     review = F.struct(
