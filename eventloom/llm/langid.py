@@ -48,14 +48,15 @@ def _words(text: Column) -> Column:
 
 
 def _grams(word: Column) -> Column:
-    """N-grams of a word between marks of its start and end."""
+    """N-grams of a word, those of two characters or more between marks of its start and end."""
+
+    def of_length(text: Column, n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.length(text) - n + 1)
+        return F.when(F.length(text) >= n, F.transform(starts, lambda i: F.substring(text, i, F.lit(n))))
+
     marked = F.concat(F.lit("^"), word, F.lit("$"))
-    size = F.length(marked)
-    by_length = [
-        F.when(size >= n, F.transform(F.sequence(F.lit(1), size - n + 1), lambda i, n=n: F.substring(marked, i, F.lit(n))))
-        for n in range(1, LONGEST + 1)
-    ]
-    return F.flatten(F.array_compact(F.array(*by_length)))
+    longer = [of_length(marked, n) for n in range(2, LONGEST + 1)]
+    return F.flatten(F.array_compact(F.array(of_length(word, 1), *longer)))
 
 
 def train(
@@ -124,7 +125,8 @@ class Scorer:
             return scores[i]
         marked = f"^{word}$"
         for n in range(min(LONGEST, len(marked)), 0, -1):
-            known = [j for k in range(len(marked) - n + 1) if (j := tokens.get("\t" + marked[k : k + n])) is not None]
+            text = marked if n > 1 else word
+            known = [j for k in range(len(text) - n + 1) if (j := tokens.get("\t" + text[k : k + n])) is not None]
             if known:
                 return scores[known].mean(axis=0)
         return 0.0
@@ -188,7 +190,24 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
+def teachable(docs: DataFrame) -> DataFrame:
+    """The rows that are not held out."""
+    return docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+
+
 def predict(docs: DataFrame) -> DataFrame:
     """All rows with a column ``language_found`` of (lang, score), learned from the rows not held out."""
-    teach = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    return docs.withColumn("language_found", identify(docs, train(teach)))
+    return docs.withColumn("language_found", identify(docs, train(teachable(docs))))
+
+
+def recognised(docs: DataFrame, margin: float = 1.2) -> DataFrame:
+    """The rows with a language: ``margin`` times as likely as any language is without evidence, or more.
+
+    A short text of rare words may score low in its own language, so the margin
+    is small: it rejects texts in which nothing is known, and those without letters.
+    """
+    model = train(teachable(docs))
+    least = min(0.999, margin / max(1, len(model.languages)))
+    found = docs.withColumn("language_found", identify(docs, model))
+    known = (F.col("language_found.lang") != UNKNOWN) & (F.col("language_found.score") >= least)
+    return found.where(known).select(*docs.columns)

@@ -8,8 +8,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import chat, langid, licenses, topk, urls
-from eventloom.session import configure
+from eventloom.llm import chat, decontaminate, langid, licenses, neardup, passages, pieces, tokenfile, topk, urls
+from eventloom.session import configure, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -84,3 +84,58 @@ def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and templates in every document."""
     return licenses.scan(table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text"))
+
+
+@query
+def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of near copies of every document."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text"))
+
+
+@query
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and digest, read back from token files."""
+    import public_tokenizers
+
+    path = scratch_path(spark, "token-files")
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
+    tokenfile.write_token_files(docs, path, public_tokenizers.path("word_bpe_49k.json"))
+    return tokenfile.read_token_files(spark, path)
+
+
+@query
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that shares a paragraph with another one, and what its text loses for it."""
+    return passages.removals(table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text"))
+
+
+def encoded(docs: DataFrame) -> DataFrame:
+    """``docs`` with their piece ids, and the text that these decode to."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = docs.withColumn("piece_ids", pieces.encode(F.col("text"), F.col("doc_id"), path))
+    return docs.withColumn("decoded", pieces.decode(F.col("piece_ids"), path))
+
+
+def digests(found: DataFrame, *more: str) -> DataFrame:
+    """What ``encoded`` found, by document."""
+    return found.select(
+        "doc_id",
+        F.coalesce(F.size("piece_ids"), F.lit(0)).cast("long").alias("n_pieces"),
+        pieces.digest(F.col("piece_ids")).alias("ids_crc32"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"),
+        *more,
+    )
+
+
+@query
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest of every document's pieces under merge-dropout, and whether they decode to its text."""
+    return digests(encoded(table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")))
+
+
+@query
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with a passage of a benchmark item, and the item."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
