@@ -9,17 +9,15 @@ similarity 0.8 stay together in one tree with probability 0.8 per level, and mos
 nodes are small after one or two, so with 12 trees a link is missed in about one
 of 10**6 cases; where all nodes stay large to the last level, in one of 500.
 
-Nodes that stay large hold near copies of each other. They are not paired up:
-members are compared with the node's leaders, a member that resembles a leader
-closely stands behind it, any other becomes a leader itself. Where the confirmed
-links leave the members behind one leader, or behind two leaders that could have
-linked members, in different components, all such members are compared too.
-
-Comparing means: sizes that allow the similarity, and at least ``LEAST_EQUAL`` of
-48 minwise values equal (a pair of similarity 0.8 has fewer in about one of
-3 * 10**7 cases). Every link is confirmed on full sets: first one candidate per
-class, then those that would join two components; links inside a component change
-nothing and are not confirmed one by one.
+Every document first names the one that resembles it most in its nodes, by equal
+minwise values; in a large node it is compared with those only that do not closely
+resemble an earlier one. Naming gives no more than one candidate a document and
+tree; the best is confirmed on full sets, and most groups are one component then.
+Links inside a component change nothing, so from here on only members of different
+components are compared: in small nodes those with at least ``LEAST_EQUAL`` of 48
+values equal (a pair of similarity 0.8 has fewer in about one of 3 * 10**7 cases),
+confirmed on full sets; in large nodes all members outside the node's largest
+component with all others, set against set, in blocks of ``BLOCK``.
 
 Shingles are compared by 64-bit hashes, classes by 128-bit digests of their sets.
 
@@ -46,14 +44,15 @@ SHINGLE = 2
 TREES, LEVELS = 12, 4
 SMALL = 24
 LEAST_EQUAL = 23  # of 48 values: worth confirming
-CLOSE_EQUAL = 41  # of 48 values: stands behind a leader
-APART_EQUAL = 12  # of 48 values: two leaders with fewer have no linked members
+CLOSE_EQUAL = 41  # of 48 values: stands behind the other one
+BLOCK = 256
 
 _SEEDS = seeds(TREES * LEVELS, 2718281828)
 SKETCH = "doc_id long, n_shingles long, set_key binary, sketch binary, " + ", ".join(
     f"level{i} array<long>" for i in range(1, LEVELS + 1)
 )
-FOUND = "kind int, node long, a binary, b binary"
+FOUND = "a binary, b binary, equal int"
+LINKS = "a binary, b binary"
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -114,60 +113,99 @@ def _leaves(classes: DataFrame) -> DataFrame:
     return leaves
 
 
-class _Leaders:
-    """Leaders of a large node: keys, sizes and sketches in arrays that grow."""
+class _Node:
+    """Members of a node that later ones are compared with, in arrays that grow."""
 
     def __init__(self):
         self.keys: list[bytes] = []
+        self.of: list[bytes] = []
         self.sizes, self.values = np.zeros(64, np.int64), np.zeros((64, len(_SEEDS)), np.uint8)
 
-    def add(self, key: bytes, size: int, values: np.ndarray) -> None:
+    def add(self, key: bytes, of: bytes, size: int, values: np.ndarray) -> None:
         if len(self.keys) == len(self.sizes):
             self.sizes, self.values = np.resize(self.sizes, 2 * len(self.sizes)), np.vstack((self.values, self.values))
         self.sizes[len(self.keys)], self.values[len(self.keys)] = size, values
         self.keys.append(key)
+        self.of.append(of)
 
-    def equal(self, values: np.ndarray) -> np.ndarray:
-        return (self.values[: len(self.keys)] == values).sum(axis=1)
+    def near(self, size: int, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the members that may be linked with one of this size and these values, and their equal values."""
+        n = len(self.keys)
+        equal = (self.values[:n] == values).sum(axis=1)
+        sizes = self.sizes[:n]
+        fits = (equal >= LEAST_EQUAL) & (100 * np.minimum(sizes, size) >= 80 * np.maximum(sizes, size))
+        found = np.flatnonzero(fits)
+        return found, equal[found]
 
 
-def _close_in_size(sizes: np.ndarray, size: int) -> np.ndarray:
-    return 100 * np.minimum(sizes, size) >= 80 * np.maximum(sizes, size)
-
-
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of rows sorted by node. Kinds: 0 candidate pair, 1 leader and member behind it, 2 leaders not far apart."""
-    node, leaders, out = None, _Leaders(), []
+def _compare(batches: Iterator[pa.RecordBatch], all_apart: bool) -> Iterator[pa.RecordBatch]:
+    """Candidate pairs of rows sorted by node: the nearest one of each member, or with ``all_apart`` all of other components."""
+    at, node = None, _Node()
     for batch in batches:
-        columns = [c.to_pylist() for c in batch.columns]
-        for at, deep, key, size, sketch in zip(*columns, strict=True):
-            if at != node:
-                node, leaders = at, _Leaders()
-            values = np.frombuffer(sketch, np.uint8)
-            behind = False
-            if leaders.keys:
-                equal = leaders.equal(values)
-                fits = _close_in_size(leaders.sizes[: len(equal)], size)
-                near = np.flatnonzero((equal >= LEAST_EQUAL) & fits)
-                best = near[np.argmax(equal[near])] if len(near) else 0
-                behind = bool(deep and len(near) and equal[best] >= CLOSE_EQUAL)
-                if behind:
-                    out.append((1, node, leaders.keys[best], key))
-                out += [(0, node, leaders.keys[i], key) for i in near]
-                if deep and not behind:
-                    out += [(2, node, leaders.keys[i], key) for i in np.flatnonzero(equal >= APART_EQUAL)]
-            if not behind:
-                leaders.add(key, size, values)
-        yield _found(out)
         out = []
+        for row_node, deep, key, of, size, sketch in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if row_node != at:
+                at, node = row_node, _Node()
+            values = np.frombuffer(sketch, np.uint8)
+            found, equal = node.near(size, values) if node.keys else ((), ())
+            if all_apart:
+                out += [(node.keys[i], key, int(e)) for i, e in zip(found, equal, strict=True) if node.of[i] != of]
+            elif len(found):
+                best = int(np.argmax(equal))
+                out.append((node.keys[found[best]], key, int(equal[best])))
+            if not (deep and len(found) and max(equal) >= CLOSE_EQUAL):
+                node.add(key, of, size, values)
+        columns = list(zip(*out, strict=True)) if out else [()] * 3
+        kinds = (pa.binary(), pa.binary(), pa.int32())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["a", "b", "equal"]
+        )
 
 
-def _found(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) if rows else [()] * 4
-    kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["kind", "node", "a", "b"]
-    )
+def _nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _compare(batches, False)
+
+
+def _all_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _compare(batches, True)
+
+
+def _in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A link for each two components that have one between the two blocks of a row, by exact sets."""
+    for batch in batches:
+        links = set()
+        for row in batch.to_pylist():
+            sides = []
+            for side in ("outside", "members"):
+                sets = [np.frombuffer(m["shingles"], np.uint64) for m in row[side]]
+                sides.append((row[side], sets, np.array([len(x) for x in sets])))
+            (outside, mine, _), (members, theirs, sizes) = sides
+            names, places = np.unique(np.concatenate(theirs), return_inverse=True)
+            starts = np.cumsum(sizes) - sizes
+            for x, own in zip(outside, mine, strict=True):
+                at = np.searchsorted(names, own)
+                at[at == len(names)] = 0
+                has = np.zeros(len(names), np.int64)
+                has[at[names[at] == own]] = 1
+                common = np.add.reduceat(has[places], starts)
+                linked = 100 * common >= 80 * (len(own) + sizes - common)
+                met = set()
+                for i in np.flatnonzero(linked):
+                    of = members[i]["of"]
+                    if of != x["of"] and of not in met:
+                        met.add(of)
+                        links.add((x["set_key"], members[i]["set_key"]))
+        a, b = zip(*sorted(links), strict=True) if links else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sets of texts that have the digest they are wanted for."""
+    for batch in batches:
+        found = [shingles(t.as_py()) for t in batch.column(1)]
+        good = [key_of(x) == k.as_py() for x, k in zip(found, batch.column(0), strict=True)]
+        sets = pa.array([x.tobytes() if g else None for x, g in zip(found, good, strict=True)], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column(0), sets], ["set_key", "shingles"]).filter(pa.array(good, pa.bool_()))
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,71 +241,59 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 SENT_IDS = 1_000_000
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes that are linked, confirmed on the full sets of their texts."""
-    pairs = stored(pairs, "pairs")
-    keys = pairs.select(F.col("a").alias("set_key")).unionByName(pairs.select(F.col("b").alias("set_key"))).distinct()
+def _texts(keys: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(set_key, text) of the classes named in ``keys``."""
     wanted = stored(classes.join(keys, "set_key").select("set_key", F.col("doc_id").alias("wanted_id")), "wanted")
     if wanted.count() <= SENT_IDS:
         wanted = F.broadcast(wanted)
     texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id")))
-    texts = texts.select("set_key", "text")
+    return texts.select("set_key", "text")
+
+
+def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes that are linked, confirmed on the full sets of their texts."""
+    pairs = stored(pairs.select("a", "b"), "pairs")
+    keys = pairs.select(F.col("a").alias("set_key")).unionByName(pairs.select(F.col("b").alias("set_key"))).distinct()
+    texts = _texts(keys, classes, docs)
     a, b = (texts.select(F.col("set_key").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(_confirm, "a binary, b binary")
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(_confirm, LINKS)
 
 
 def _with_component(rows: DataFrame, column: str, found: DataFrame) -> DataFrame:
-    """``rows`` with the component of ``column``, which is itself where it has no link."""
-    named = found.select(F.col("node").alias(column), F.col("component").alias(f"of_{column}"))
+    """``rows`` with the component ``of`` the class in ``column``, which is itself where it has no link."""
+    named = found.select(F.col("node").alias(column), F.col("component").alias("of"))
     joined = rows.join(named, column, "left")
-    return joined.withColumn(f"of_{column}", F.coalesce(f"of_{column}", column))
-
-
-def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    both = _with_component(_with_component(pairs, "a", found), "b", found)
-    return both.where("of_a <> of_b").select("a", "b")
-
-
-def _unresolved(large: DataFrame, found: DataFrame) -> DataFrame:
-    """Members of large nodes in different components that stand behind one leader, or behind leaders not far apart."""
-    behind = large.where("kind = 1").select("node", F.col("a").alias("leader"), F.col("b").alias("member"))
-    heads = large.where("kind in (1, 2)").select("node", F.col("a").alias("leader"))
-    heads = heads.unionByName(large.where("kind = 2").select("node", F.col("b").alias("leader"))).distinct()
-    behind = behind.unionByName(heads.withColumn("member", F.col("leader")))
-    behind = stored(_with_component(behind, "member", found), "behind")
-    parts = behind.groupBy("node", "leader").agg(F.min("of_member").alias("low"), F.max("of_member").alias("high"))
-    sides = large.where("kind = 2").select("node", F.col("a").alias("la"), F.col("b").alias("lb"))
-    sides = sides.unionByName(heads.select("node", F.col("leader").alias("la"), F.col("leader").alias("lb")))
-    for side in ("la", "lb"):
-        sides = sides.join(
-            parts.select("node", F.col("leader").alias(side), F.col("low").alias(f"low_{side}"), F.col("high").alias(f"high_{side}")),
-            ["node", side],
-        )
-    mixed = (F.least("low_la", "low_lb") != F.greatest("high_la", "high_lb"))
-    sides = sides.where(mixed).select("node", "la", "lb")
-    for side, x in (("la", "a"), ("lb", "b")):
-        sides = sides.join(
-            behind.select("node", F.col("leader").alias(side), F.col("member").alias(x), F.col("of_member").alias(f"of_{x}")),
-            ["node", side],
-        )
-    return sides.where("of_a <> of_b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return joined.withColumn("of", F.coalesce("of", column))
 
 
-def _similar_enough(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs whose sizes and sketches allow a link."""
-    for x in "ab":
-        pairs = pairs.join(
-            classes.select(F.col("set_key").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}")), x
-        )
+def _candidates(leaves: DataFrame, classes: DataFrame, compare) -> DataFrame:
+    rows = leaves.join(classes.select("set_key", "n_shingles", "sketch"), "set_key").repartition("node")
+    rows = rows.sortWithinPartitions("node", "set_key").select("node", "deep", "set_key", "of", "n_shingles", "sketch")
+    return rows.mapInArrow(compare, FOUND)
+
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = (np.array([np.frombuffer(v.as_py(), np.uint8) for v in batch.column(k)]) for k in (2, 3))
-            fits = (x == y).sum(axis=1) >= LEAST_EQUAL if len(batch) else []
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(fits, pa.bool_())) for c in batch.columns[:2]], ["a", "b"])
+def _mixed(leaves: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The leaves with components, and the nodes that hold more than one: largest component and number of members."""
+    rows = stored(_with_component(leaves.drop("of"), "set_key", found), "leaves")
+    sizes = rows.groupBy("node", "of").agg(F.count("*").alias("size"))
+    return rows, sizes.groupBy("node").agg(
+        F.max(F.struct("size", "of"))["of"].alias("main"), F.sum("size").alias("members"), F.count("*").alias("parts")
+    ).where("parts > 1")
 
-    sized = pairs.where("100 * least(n_a, n_b) >= 80 * greatest(n_a, n_b)")
-    return sized.select("a", "b", "sketch_a", "sketch_b").mapInArrow(keep, "a binary, b binary")
+
+def _linked_in_large_nodes(leaves: DataFrame, found: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links between members of large nodes that are outside the largest component there and any others."""
+    rows, nodes = _mixed(leaves.where("deep"), found)
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    rows = rows.join(nodes, "node").select(
+        "node", "set_key", "of", (F.col("of") != F.col("main")).alias("apart"), F.pmod(F.xxhash64("set_key"), blocks).alias("block")
+    )
+    rows = stored(rows, "apart")
+    sets = _texts(rows.select("set_key").distinct(), classes, docs).mapInArrow(_sets, "set_key binary, shingles binary")
+    full = rows.join(sets, "set_key").withColumn("member", F.struct("set_key", "of", "shingles"))
+    outside = full.where("apart").groupBy("node", "block").agg(F.collect_list("member").alias("outside"))
+    members = full.groupBy("node", "block").agg(F.collect_list("member").alias("members"))
+    return outside.drop("block").join(members.drop("block"), "node").select("outside", "members").mapInArrow(_in_blocks, LINKS)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -279,28 +305,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = sketches.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("doc_id"), *firsts)
     classes = stored(classes, "classes")
     slim = classes.select("set_key", "doc_id", "n_shingles", "sketch")
-    compared = (
-        _leaves(classes)
-        .join(slim.drop("doc_id"), "set_key")
-        .repartition("node")
-        .sortWithinPartitions("node", "set_key")
-        .select("node", "deep", "set_key", "n_shingles", "sketch")
-        .mapInArrow(_compare, FOUND)
-    )
-    compared = stored(compared, "compared")
-    pairs = stored(
-        compared.where("kind = 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs"
-    )
-    links = stored(confirmed(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), slim, docs), "confirmed")
+    leaves = stored(_leaves(classes), "leaves")
+
+    nearest = _candidates(leaves.withColumn("of", F.col("set_key")), slim, _nearest)
+    nearest = nearest.groupBy("b").agg(F.max(F.struct("equal", "a"))["a"].alias("a"))
+    links = stored(confirmed(nearest, slim, docs), "confirmed")
+    found = components(links)
+    rows, nodes = _mixed(leaves.where("not deep"), found)
+    apart = _candidates(rows.join(nodes.select("node"), "node", "left_semi"), slim, _all_apart)
+    links = links.unionByName(stored(confirmed(apart.select("a", "b").distinct(), slim, docs), "confirmed"))
     found = components(links)
-    for more in (lambda: pairs, lambda: _similar_enough(_unresolved(compared.where("kind > 0"), found), slim)):
-        open_pairs = stored(_apart(more(), found), "open")
-        if not open_pairs.isEmpty():
-            links = links.unionByName(stored(confirmed(open_pairs, slim, docs), "confirmed"))
-            found = components(links)
+    links = links.unionByName(stored(_linked_in_large_nodes(leaves, found, slim, docs), "confirmed"))
+    found = components(links)
+
     by_class = stored(_with_component(slim.select("set_key", "doc_id"), "set_key", found), "members")
-    ids = by_class.groupBy("of_set_key").agg(F.min("doc_id").alias("component_id"))
-    named = by_class.join(ids, "of_set_key").select("set_key", "component_id")
+    ids = by_class.groupBy("of").agg(F.min("doc_id").alias("component_id"))
+    named = by_class.join(ids, "of").select("set_key", "component_id")
     rows = sketches.select("doc_id", "n_shingles", "set_key")
     linked = rows.where("n_shingles > 0").join(named, "set_key").select("doc_id", "n_shingles", "component_id")
     alone = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
