@@ -32,6 +32,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ K1, B = 1.2, 0.75
 THRESHOLD = 0.6
 OVERLAP = 0.8
 GRAM = 5
-BLOCK = 16
+BLOCK = 4
 PART_ITEMS, PART_CHARS = 20_000, 1 << 24
 WORD = re.compile(r"\w+")
 MATCHES = "doc_id long, item_id long, passage int, score double, question_overlap double, answer_overlap double"
@@ -174,7 +175,7 @@ def candidates(index: Index, known: np.ndarray) -> list[tuple[int, np.ndarray]]:
 def matches(index: Index, text: str) -> list[tuple[int | None, int, float, float, float]]:
     """(item id, passage, score, overlaps with question and answer) of a text, the best passage of each item."""
     words = WORD.findall(text.lower())
-    known = np.fromiter((index.words.get(w, -1) for w in words), np.int64, len(words))
+    known = np.array(list(map(index.words.get, words, repeat(-1))), np.int64)
     best: dict[int, tuple] = {}
     for passage, mine in candidates(index, known):
         retrieved = wand(index, mine)
