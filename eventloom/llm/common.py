@@ -69,16 +69,21 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def word_hashes(text: bytes) -> np.ndarray:
     """64-bit hashes of the words of ``text``: runs of bytes other than space, tab and line ends."""
+    return words_of(text)[0]
+
+
+def words_of(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of ``text``, and the bytes at which they start."""
     data = np.frombuffer(text, np.uint8)
     blank = (data == 32) | ((data >= 9) & (data <= 13))
     edges = np.flatnonzero(np.diff(np.concatenate(([True], blank, [True])).view(np.int8)))
     starts, ends = edges[::2], edges[1::2]
     if not len(starts):
-        return np.empty(0, np.uint64)
+        return np.empty(0, np.uint64), starts
     power, inverse = _powers(len(data))
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverse[starts])
+    return mix((sums[ends] - sums[starts]) * inverse[starts]), starts
 
 
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
