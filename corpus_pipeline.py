@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from eventloom.llm import decontaminate, langid, neardup, passages
 from eventloom.llm.common import stored
-from eventloom.llm.queries import digests, encoded, table
+from eventloom.llm.queries import encoded, table
 from eventloom.session import configure
 
 #: Ids of dropped documents that may be sent to all tasks; more are joined by shuffle.
@@ -54,7 +54,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of each document under merge-dropout, and whether they decode to its text."""
-    return digests(encoded(docs.select("doc_id", "text")), "piece_ids")
+    return encoded(docs.select("doc_id", "text"))
 
 
 STAGES = [

@@ -1,7 +1,7 @@
 """SentencePiece BPE with seeded merge-dropout, encoded and decoded without loss.
 
-A text is cut into chunks (a run of blanks with the word behind it, or a line
-feed) that no piece of the vocabulary spans, so chunks encode on their own. In
+A text is cut into chunks (a run of blanks with the word or the signs behind it,
+or a line feed) that no piece of the vocabulary spans, so chunks encode on their own. In
 each chunk the agenda takes the best-scored pair of neighbours, leftmost first,
 and merges it, until no pair makes a piece. A candidate merge is skipped when a
 keyed hash of (seed, variant, chunk, both pieces, place in the chunk) falls below
@@ -21,7 +21,7 @@ like any other; texts of any length, and chunks of any length, are whole.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from heapq import heapify, heappop, heappush
 from zlib import crc32
 
@@ -30,13 +30,26 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import mix
+from eventloom.llm.common import mix, steps
 
 VARIANTS = 4
 LONGEST_IN_ARRAYS = 40
-MOST_CHUNKS, MOST_CHARS = 300_000, 1 << 24
+MOST_CHUNKS, MOST_CHARS = 400_000, 8_000_000
 SPACE = "▁"
-CHUNK = re.compile(r"\n|[ ]*[^ \n]+|[ ]+")
+
+
+def _cuts(pieces: Iterable[str]) -> re.Pattern:
+    """The finest way to cut texts that no piece spans: words and signs, else what stands between blanks, else none.
+
+    A word character that some piece joins with a sign counts as a sign.
+    """
+    texts = [p.replace(SPACE, " ") for p in pieces]
+    joined = {c for t in texts for c in re.findall(r"\w(?=[^\w ])|(?<=[^\w ])\w|_", t)}
+    signs = "".join(map(re.escape, sorted(joined)))
+    cuts = (rf"\n|[ ]*[^\W{signs}]+|[ ]*(?:[^\w \n]|[_{signs}])+|[ ]+", r"\n|[ ]*[^ \n]+|[ ]+", r"(?s).+")
+    return next(c for c in map(re.compile, cuts) if all(map(c.fullmatch, texts)))
+
+
 NONE = np.int32(2**31 - 1)
 
 
@@ -56,11 +69,17 @@ class Pieces:
         if not all(model.is_byte(i) for i in self.bytes):
             raise ValueError("the model has no pieces for bytes")
         ids = {self.names[i]: i for i in normal}
-        self.whole = any("\n" in p or SPACE in p.lstrip(SPACE) for p in ids)  # then a text is one chunk
+        self.cut = _cuts(ids).findall
         for char in {c for p in ids if len(p) > 1 for c in p} - ids.keys():
             ids[char] = len(self.names)  # a character that only longer pieces hold
             self.names.append("")
         self.ids, self.size = ids, size
+        self.spelled: dict[int, list[int]] = {}
+        self.by_code = -2 - np.arange(0x110000, dtype=np.int64)  # symbol of each character
+        for char, i in ids.items():
+            if len(char) == 1:
+                self.by_code[ord(char)] = i
+        self.by_code[ord(" ")], self.by_code[ord(SPACE)] = ids.get(SPACE, -2 - 32), -2 - ord(SPACE)
         ranks = np.full(len(self.names) + 1, NONE)
         order = sorted(normal, key=lambda i: (-model.get_score(i), i))
         ranks[order] = np.arange(len(order))
@@ -80,28 +99,30 @@ class Pieces:
             self.texts[i] = self.names[i].encode().replace(blank, b" ")
         for b, i in enumerate(self.bytes):
             self.texts[i] = bytes([b])
-
-    def symbols(self, chunk: str) -> list[int]:
-        """Ids of the characters of a chunk; a character without one is -2 less its code point."""
-        blank = self.ids.get(SPACE, -2 - 32)
-        return [blank if c == " " else -2 - ord(c) if c == SPACE else self.ids.get(c, -2 - ord(c)) for c in chunk]
-
-    def spell(self, symbols: list[int]) -> list[int]:
-        if min(symbols, default=0) >= 0 and max(symbols, default=0) < self.size:
-            return symbols
-        out = []
-        for s in symbols:
-            if 0 <= s < self.size:
-                out.append(s)
-            else:
-                char = chr(-2 - s) if s < 0 else next(c for c, i in self.ids.items() if i == s)
-                out += [self.bytes[b] for b in char.encode()]
-        return out
-
-    def decode(self, ids: list[int]) -> str:
+        self.sizes = np.array([len(t) for t in self.texts])
+        self.places = np.cumsum(self.sizes) - self.sizes
+        self.data = np.frombuffer(b"".join(self.texts), np.uint8)
+
+    def symbols(self, text: str) -> np.ndarray:
+        """Ids of the characters of a text; a character without one is -2 less its code point."""
+        return self.by_code[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+
+    def spell(self, symbol: int) -> list[int]:
+        """The pieces of a symbol: itself, or its bytes."""
+        if 0 <= symbol < self.size:
+            return [symbol]
+        if symbol not in self.spelled:
+            char = chr(-2 - symbol) if symbol < 0 else next(c for c, i in self.ids.items() if i == symbol)
+            self.spelled[symbol] = [self.bytes[b] for b in char.encode()]
+        return self.spelled[symbol]
+
+    def decode(self, ids: np.ndarray) -> str:
         """The text of ids, less the blank that encoding puts in front."""
-        data = b"".join(map(self.texts.__getitem__, ids))
-        return data.decode(errors="replace").removeprefix(" ")
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        data = self.data[np.repeat(self.places[ids] - ends + sizes, sizes) + np.arange(total)]
+        return data.tobytes().decode(errors="replace").removeprefix(" ")
 
 
 def skips(left: np.ndarray, right: np.ndarray, place: np.ndarray, key: np.ndarray, dropout: float) -> np.ndarray:
@@ -143,13 +164,14 @@ def agenda(pieces: Pieces, symbols: list[int], key: int, dropout: float) -> list
     return [s for s, a in zip(symbols, alive, strict=True) if a]
 
 
-def in_arrays(pieces: Pieces, chunks: list[list[int]], keys: np.ndarray, dropout: float) -> list[list[int]]:
-    """What ``agenda`` gives for each of many short chunks, a round of merges at a time."""
-    width = max(map(len, chunks))
-    symbols = np.full((len(chunks), width + 1), -1, np.int64)
-    for i, chunk in enumerate(chunks):
-        symbols[i, : len(chunk)] = chunk
-    places = np.tile(np.arange(width + 1), (len(chunks), 1))
+def in_arrays(pieces: Pieces, symbols: np.ndarray, keys: np.ndarray, dropout: float) -> np.ndarray:
+    """What ``agenda`` gives for each of many short chunks, a round of merges at a time.
+
+    ``symbols`` has a row for each chunk, filled up with -1, and at least one -1 at
+    the end of each; so has the result.
+    """
+    count, width = symbols.shape[0], symbols.shape[1] - 1
+    places = np.tile(np.arange(width + 1), (count, 1))
 
     def look_up(rows: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Merged piece and rank of the pair at a column of each row."""
@@ -161,20 +183,15 @@ def in_arrays(pieces: Pieces, chunks: list[list[int]], keys: np.ndarray, dropout
         merged = np.where(good, pieces.merged[found], -1)
         return merged, np.where(good, pieces.ranks[merged], NONE)
 
-    rows = np.repeat(np.arange(len(chunks)), width)
-    merged, ranks = (x.reshape(len(chunks), width) for x in look_up(rows, np.tile(np.arange(width), len(chunks))))
+    rows = np.repeat(np.arange(count), width)
+    merged, ranks = (x.reshape(count, width) for x in look_up(rows, np.tile(np.arange(width), count)))
     merged = np.pad(merged, ((0, 0), (0, 1)), constant_values=-1)
     ranks = np.pad(ranks, ((0, 0), (0, 1)), constant_values=NONE)
-    done = np.arange(len(chunks))
-    out = [None] * len(chunks)
-    columns = np.arange(width + 1)
+    out, done, columns = symbols.copy(), np.arange(count), np.arange(width + 1)
     while len(done):
         best = ranks.argmin(axis=1)
-        idle = ranks[np.arange(len(done)), best] == NONE
-        for i in np.flatnonzero(idle):
-            row = symbols[i]
-            out[done[i]] = row[row != -1].tolist()
-        busy = ~idle
+        busy = ranks[np.arange(len(done)), best] != NONE
+        out[done[~busy]] = symbols[~busy]
         done, best, keys = done[busy], best[busy], keys[busy]
         symbols, places, merged, ranks = symbols[busy], places[busy], merged[busy], ranks[busy]
         rows = np.arange(len(done))
@@ -200,66 +217,95 @@ class Encoder:
         for places in self.kept:
             places.clear()
         self.count = self.chars = 0
-        self.ids, self.starts = np.empty(1 << 20, np.int32), np.zeros(1 << 20, np.int64)
+        self.ids = np.empty(1 << 20, np.int32)
+        self.ends = np.zeros(1 << 18, np.int64)  # of each chunk's ids; a chunk starts where the one before ends
 
     def variant(self, key: str | None) -> int:
         return crc32(f"{self.seed} {key}".encode()) % VARIANTS
 
-    def merge(self, chunks: list[str], variant: int) -> list[list[int]]:
-        symbols = [self.pieces.symbols(c) for c in chunks]
-        codes = np.array([crc32(c.encode()) for c in chunks], np.uint64)
-        keys = mix(mix(codes + (np.uint64(variant) << np.uint64(32))) ^ np.uint64(self.seed))
-        out: list = [None] * len(chunks)
-        by_length: dict[int, list[int]] = {}
-        for i, s in enumerate(symbols):
-            if len(s) == 1:
-                out[i] = s
-            elif len(s) > LONGEST_IN_ARRAYS:
-                out[i] = agenda(self.pieces, s, int(keys[i]), self.dropout)
-            else:
-                by_length.setdefault(-(-len(s) // 4), []).append(i)
-        for rows in by_length.values():
-            for low in range(0, len(rows), 20_000):
-                part = rows[low : low + 20_000]
-                for i, found in zip(part, in_arrays(self.pieces, [symbols[i] for i in part], keys[part], self.dropout), strict=True):
-                    out[i] = found
-        return [self.pieces.spell(s) for s in out]
+    def merge(self, chunks: list[str], variant: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the chunks in turn, and the number of each chunk's ids."""
+        lengths = np.array([len(c) for c in chunks])
+        ends = np.cumsum(lengths)
+        starts = ends - lengths
+        symbols = self.pieces.symbols("".join(chunks))
+        # a chunk's key follows from its symbols, so it is the same in any batch
+        within = (np.arange(len(symbols)) - np.repeat(starts, lengths)).astype(np.uint64)
+        codes = np.add.reduceat(mix(symbols.astype(np.uint64) + (within << np.uint64(40))), starts)
+        keys = mix(mix(codes + np.uint64(variant)) ^ np.uint64(self.seed))
+        counts, found = np.zeros(len(chunks), np.int64), {}
+        width = np.minimum(-(-lengths // 4) * 4, LONGEST_IN_ARRAYS)
+        order = np.argsort(width, kind="stable")
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        for w in np.unique(width):
+            rows = order[width[order] == w]
+            long = rows[lengths[rows] > LONGEST_IN_ARRAYS]
+            for i in long:
+                found[int(i)] = agenda(self.pieces, symbols[starts[i] : ends[i]].tolist(), int(keys[i]), self.dropout)
+            rows = rows[lengths[rows] <= LONGEST_IN_ARRAYS]
+            for low in range(0, len(rows), 8192):
+                part = rows[low : low + 8192]
+                inside = np.arange(w) < lengths[part][:, None]
+                table = np.full((len(part), int(w) + 1), -1, np.int64)
+                table[:, :-1][inside] = symbols[(starts[part][:, None] + np.arange(w))[inside]]
+                table = in_arrays(self.pieces, table, keys[part], self.dropout)
+                odd = ((table < -1) | (table >= self.pieces.size)).any(axis=1)
+                for i, row in zip(part[odd], table[odd], strict=True):
+                    found[int(i)] = row[row != -1].tolist()
+                part, table = part[~odd], table[~odd]
+                counts[part] = (table != -1).sum(axis=1)
+                parts.append((part, table[table != -1]))
+        spelled = {i: [p for s in row for p in self.pieces.spell(s)] for i, row in found.items()}
+        for i, row in spelled.items():
+            counts[i] = len(row)
+            parts.append((np.array([i]), np.array(row)))
+        ends = np.cumsum(counts)
+        ids = np.empty(int(ends[-1]), np.int32)
+        for rows, flat in parts:
+            sizes = counts[rows]
+            upto = np.cumsum(sizes)
+            ids[np.repeat(ends[rows] - upto, sizes) + np.arange(len(flat))] = flat
+        return ids, ends
 
     def _learn(self, chunks: list[str], variant: int) -> None:
-        for chunk, found in zip(chunks, self.merge(chunks, variant), strict=True):
-            i = self.kept[variant][chunk] = self.count
-            self.count += 1
-            start = self.starts[i]
-            end = start + len(found)
-            if i + 2 > len(self.starts):
-                self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
-            while end > len(self.ids):
-                self.ids = np.concatenate((self.ids, np.empty_like(self.ids)))
-            self.ids[start:end] = found
-            self.starts[i + 1] = end
-            self.chars += len(chunk)
+        ids, ends = self.merge(chunks, variant)
+        first = self.count
+        start = int(self.ends[first - 1]) if first else 0
+        while first + len(chunks) > len(self.ends):
+            self.ends = np.concatenate((self.ends, np.zeros_like(self.ends)))
+        while start + len(ids) > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.empty_like(self.ids)))
+        self.kept[variant].update(zip(chunks, range(first, first + len(chunks)), strict=True))
+        self.ids[start : start + len(ids)] = ids
+        self.ends[first : first + len(chunks)] = start + ends
+        self.count += len(chunks)
+        self.chars += sum(map(len, chunks))
 
     def encode(self, texts: list[str | None], keys: list[str | None]) -> list[np.ndarray | None]:
         if self.count > MOST_CHUNKS or self.chars > MOST_CHARS:
             self.forget()
-        cut = [
-            [] if not t else [" " + t] if self.pieces.whole else CHUNK.findall(" " + t) for t in texts
-        ]
+        cut = [self.pieces.cut(" " + t) if t else [] for t in texts]
         variants = [self.variant(k) for k in keys]
-        for v in set(variants):
-            known = self.kept[v]
-            new = {c for chunks, w in zip(cut, variants, strict=True) if w == v for c in chunks if c not in known}
-            if new:
-                self._learn(sorted(new), v)
+        found = [list(map(self.kept[v].get, chunks)) for chunks, v in zip(cut, variants, strict=True)]
+        new: list[dict[str, None]] = [{} for _ in range(VARIANTS)]
+        gaps = []
+        for chunks, at, v in zip(cut, found, variants, strict=True):
+            gaps.append([k for k, place in enumerate(at) if place is None] if None in at else ())
+            new[v].update(dict.fromkeys(chunks[k] for k in gaps[-1]))
+        for v, chunks in enumerate(new):
+            if chunks:
+                self._learn(list(chunks), v)
         out = []
-        for text, chunks, v in zip(texts, cut, variants, strict=True):
-            at = np.array(list(map(self.kept[v].__getitem__, chunks)), np.int64)
-            starts = self.starts[at]
-            sizes = self.starts[at + 1] - starts
+        for text, chunks, at, gap, v in zip(texts, cut, found, gaps, variants, strict=True):
+            for k in gap:
+                at[k] = self.kept[v][chunks[k]]
+            place = np.array(at, np.int64)
+            starts = np.where(place > 0, self.ends[place - 1], 0)
+            sizes = self.ends[place] - starts
             ends = np.cumsum(sizes)
             total = int(ends[-1]) if len(ends) else 0
-            found = self.ids[np.repeat(starts - ends + sizes, sizes) + np.arange(total)]
-            out.append(None if text is None else found)
+            ids = self.ids[np.repeat(starts - ends + sizes, sizes) + np.arange(total)]
+            out.append(None if text is None else ids)
         return out
 
 
@@ -280,7 +326,14 @@ def encoder(path: str, dropout: float, seed: int) -> Encoder:
     return _ENCODERS[path, dropout, seed]
 
 
-_STEP = 1 << 21  # characters of text encoded together
+_STEP = 1 << 20  # characters of text encoded together
+
+
+def _encoded(work: Encoder, texts: pa.Array, keys: pa.Array) -> Iterator[tuple[list, list]]:
+    """Texts and their ids, some at a time."""
+    for low, high in steps(texts, _STEP):
+        part = texts[low:high].to_pylist()
+        yield part, work.encode(part, keys[low:high].to_pylist())
 
 
 def encode(text: Column, key: Column, path: str, dropout: float = 0.1, seed: int = 0) -> Column:
@@ -290,12 +343,7 @@ def encode(text: Column, key: Column, path: str, dropout: float = 0.1, seed: int
     def encoded(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         work = encoder(path, dropout, seed)
         for texts, keys in batches:
-            texts, keys, found, low, chars = texts.to_pylist(), keys.to_pylist(), [], 0, 0
-            for high, text in enumerate(texts, 1):
-                chars += len(text or "")
-                if chars > _STEP or high == len(texts):
-                    found += work.encode(texts[low:high], keys[low:high])
-                    low, chars = high, 0
+            found = [ids for _, part in _encoded(work, texts, keys) for ids in part]
             yield pa.array(found, pa.list_(pa.int32()))
 
     return encoded(text, key.cast("string"))
@@ -308,19 +356,38 @@ def decode(ids: Column, path: str) -> Column:
     def decoded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         pieces = _pieces(path)
         for batch in batches:
-            yield pa.array([None if i is None else pieces.decode(i) for i in batch.to_pylist()], pa.string())
+            yield pa.array([None if r is None else pieces.decode(r) for r in _rows(batch)], pa.string())
 
     return decoded(ids)
 
 
-def digest(ids: Column) -> Column:
-    """crc32 of each array of ids as little-endian 32-bit numbers; null ids are none."""
+def _rows(batch: pa.Array) -> Iterator[np.ndarray | None]:
+    """Each list of an array of lists as numbers."""
+    flat = batch.flatten().to_numpy(zero_copy_only=False)
+    at = 0
+    for size in batch.value_lengths():
+        yield flat[at : at + size.as_py()] if size.is_valid else None
+        at += size.as_py() or 0
 
-    @F.arrow_udf("long")
-    def summed(batch: pa.Array) -> pa.Array:
-        flat = batch.flatten().to_numpy(zero_copy_only=False).astype("<u4")
-        ends = np.cumsum(np.nan_to_num(batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)))
-        starts = np.concatenate(([0], ends))[:-1]
-        return pa.array([crc32(flat[a:b].tobytes()) for a, b in zip(starts, ends, strict=True)], pa.int64())
 
-    return summed(ids)
+def round_trip(text: Column, key: Column, path: str, dropout: float = 0.1, seed: int = 0) -> Column:
+    """(ids, ids_crc32, lossless) of each text: its pieces, their digest, and whether they decode to it.
+
+    The digest is the crc32 of the ids as little-endian 32-bit numbers. One Python
+    worker does what ``encode`` and ``decode`` would do in two.
+    """
+    kinds = [("ids", pa.list_(pa.int32())), ("ids_crc32", pa.int64()), ("lossless", pa.bool_())]
+
+    @F.arrow_udf("struct<ids: array<int>, ids_crc32: long, lossless: boolean>")
+    def judged(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        work = encoder(path, dropout, seed)
+        for texts, keys in batches:
+            ids, sums, same = [], [], []
+            for part, found in _encoded(work, texts, keys):
+                ids += found
+                sums += [0 if i is None else crc32(i.astype("<u4").tobytes()) for i in found]
+                same += [t is None if i is None else work.pieces.decode(i) == t for t, i in zip(part, found, strict=True)]
+            columns = [pa.array(c, t) for c, (_, t) in zip((ids, sums, same), kinds, strict=True)]
+            yield pa.StructArray.from_arrays(columns, [n for n, _ in kinds])
+
+    return judged(text, key.cast("string"))

@@ -110,29 +110,24 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def encoded(docs: DataFrame) -> DataFrame:
-    """``docs`` with their piece ids, and the text that these decode to."""
+    """Pieces of ``docs`` (doc_id, text) under merge-dropout, with a digest and whether they decode to the text."""
     import public_tokenizers
 
     path = public_tokenizers.path("piece_bpe_32k.model")
-    docs = docs.withColumn("piece_ids", pieces.encode(F.col("text"), F.col("doc_id"), path))
-    return docs.withColumn("decoded", pieces.decode(F.col("piece_ids"), path))
-
-
-def digests(found: DataFrame, *more: str) -> DataFrame:
-    """What ``encoded`` found, by document."""
-    return found.select(
+    found = pieces.round_trip(F.col("text"), F.col("doc_id"), path)
+    return docs.select("doc_id", found.alias("found")).select(
         "doc_id",
-        F.coalesce(F.size("piece_ids"), F.lit(0)).cast("long").alias("n_pieces"),
-        pieces.digest(F.col("piece_ids")).alias("ids_crc32"),
-        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"),
-        *more,
+        F.coalesce(F.size("found.ids"), F.lit(0)).cast("long").alias("n_pieces"),
+        "found.ids_crc32",
+        "found.lossless",
+        F.col("found.ids").alias("piece_ids"),
     )
 
 
 @query
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digest of every document's pieces under merge-dropout, and whether they decode to its text."""
-    return digests(encoded(table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")))
+    return encoded(table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")).drop("piece_ids")
 
 
 @query
