@@ -22,6 +22,7 @@ gives files without rows. A text of any length is one entry of its segment.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -104,7 +105,10 @@ class Encoder:
     of a text are those of its words.
     """
 
-    MOST_WORDS, MOST_CHARS = 400_000, 1 << 24
+    MOST_WORDS, MOST_CHARS = 1_500_000, 24_000_000
+    JOINED = re.compile("[A-Z][^\x00-\u02ff]")
+    SIGN = re.compile(r"(?<=[a-z])([.,])(?= )")
+    MARK = "\x01"  # put between words that are encoded together; it is one id
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -112,37 +116,61 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        (self.mark,) = self._ids(self.MARK)
         self.forget()
 
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
     def forget(self) -> None:
         self.places: dict[str, int] = {}
         self.chars = 0
         self.ids = np.empty(1 << 20, np.uint32)
-        self.starts = np.zeros(1 << 20, np.int64)
+        self.ends = np.zeros(1 << 18, np.int64)  # of each word's ids; a word starts where the one before ends
 
     def _learn(self, words: list[str]) -> None:
-        for word, found in zip(words, self.tokenizer.encode_batch_fast(words, add_special_tokens=False), strict=True):
-            i = self.places[word] = len(self.places)
-            start, end = self.starts[i], self.starts[i] + len(found)
-            if i + 2 > len(self.starts):
-                self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
-            while end > len(self.ids):
-                self.ids = np.concatenate((self.ids, np.empty_like(self.ids)))
-            self.ids[start:end] = found.ids
-            self.starts[i + 1] = end
-            self.chars += len(word)
+        odd = [w for w in words if self.MARK in w]
+        words = [w for w in words if self.MARK not in w]
+        ids = np.array(self._ids(f" {self.MARK} ".join(words)), np.uint32)
+        marks = np.flatnonzero(ids == self.mark)
+        ends = np.append(marks - np.arange(len(marks)), len(ids) - len(marks))[: len(words)]
+        self._keep(words, np.delete(ids, marks), ends)
+        for word in odd:
+            ids = np.array(self._ids(word), np.uint32)
+            self._keep([word], ids, np.array([len(ids)]))
+
+    def _keep(self, words: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        first = len(self.places)
+        start = int(self.ends[first - 1]) if first else 0
+        while first + len(words) > len(self.ends):
+            self.ends = np.concatenate((self.ends, np.zeros_like(self.ends)))
+        while start + len(ids) > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.empty_like(self.ids)))
+        self.places.update(zip(words, range(first, first + len(words)), strict=True))
+        self.ids[start : start + len(ids)] = ids
+        self.ends[first : first + len(words)] = start + ends
+        self.chars += sum(map(len, words))
 
     def encode(self, text: str) -> np.ndarray:
+        """Ids of ``text``, which is cut finer first where that changes no id, so that words recur.
+
+        The tokenizer lower-cases; doing it for A-Z before tells only where such a
+        letter is joined with a mark behind it. It parts a letter from a sign too.
+        """
+        if not self.JOINED.search(text):
+            text = self.SIGN.sub(r" \1 ", text.encode().lower().decode())
         if len(self.places) > self.MOST_WORDS or self.chars > self.MOST_CHARS:
             self.forget()
         words = text.replace("\n", " ").split(" ")
         found = list(map(self.places.get, words))
         if None in found:
-            self._learn(list({w for w, i in zip(words, found, strict=True) if i is None}))
-            found = list(map(self.places.get, words))
+            new = [k for k, place in enumerate(found) if place is None]
+            self._learn(list({words[k] for k in new}))
+            for k in new:
+                found[k] = self.places[words[k]]
         at = np.array(found)
-        starts = self.starts[at]
-        sizes = self.starts[at + 1] - starts
+        starts = np.where(at > 0, self.ends[at - 1], 0)
+        sizes = self.ends[at] - starts
         ends = np.cumsum(sizes)
         return self.ids[np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1])]
 
