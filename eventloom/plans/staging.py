@@ -97,8 +97,8 @@ _FIELDS = {
 }
 
 
-def unnest(bronze: DataFrame, event_type: str, start: str = ARCHIVE_START) -> DataFrame:
-    """Deduplicated rows of one event type from ``start`` on, without bot flags."""
+def unnest_copies(bronze: DataFrame, event_type: str, start: str = ARCHIVE_START) -> DataFrame:
+    """Rows of one event type from ``start`` on as they are in their files, with the file's ``dt`` and ``hour``."""
     kept = bronze.where(
         (F.col("type") == event_type)
         & (F.col("created_at") >= F.lit(start).cast("timestamp"))
@@ -107,7 +107,7 @@ def unnest(bronze: DataFrame, event_type: str, start: str = ARCHIVE_START) -> Da
     )
     if event_type in PAYLOAD_FIELDS:
         kept = kept.withColumn("p", parse_payload(F.col("payload"), event_type))
-    narrow = kept.select(
+    return kept.select(
         F.col("id").alias("event_id"),
         F.col("created_at").alias("event_created_at"),
         F.col("actor.id").alias("actor_id"),
@@ -118,7 +118,16 @@ def unnest(bronze: DataFrame, event_type: str, start: str = ARCHIVE_START) -> Da
         "dt",
         "hour",
     )
-    return dedupe_events(narrow, "event_id", "event_created_at", ["dt", "hour"]).drop("dt", "hour")
+
+
+def one_per_event(copies: DataFrame) -> DataFrame:
+    """One row per event of ``unnest_copies``: the earliest, then that of the earliest file."""
+    return dedupe_events(copies, "event_id", "event_created_at", ["dt", "hour"]).drop("dt", "hour")
+
+
+def unnest(bronze: DataFrame, event_type: str, start: str = ARCHIVE_START) -> DataFrame:
+    """Deduplicated rows of one event type from ``start`` on, without bot flags."""
+    return one_per_event(unnest_copies(bronze, event_type, start))
 
 
 def flag_bots(unnested: DataFrame, seed: DataFrame) -> DataFrame:

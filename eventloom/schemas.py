@@ -62,7 +62,7 @@ TIMELINE_BRONZE = T.StructType(
     ]
 )
 
-SEED = T.StructType([T.StructField("login", T.StringType()), T.StructField("reason", T.StringType())])
+SEED = T.StructType([T.StructField("login", T.StringType())])
 
 # Absent hours: one row per (dt, hour), with the reason it is absent.
 MISSING_HOURS = T.StructType(

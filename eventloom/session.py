@@ -17,6 +17,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # batches of long texts for Python workers stay small, whatever their number of rows
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
 }
 
 
@@ -24,11 +26,6 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings the operators need to a session made elsewhere."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
-    first_split = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    if not spark.sparkContext.master.startswith("local") and spark.conf.get(first_split, None) is None:
-        # start shuffles with enough partitions for all cores; AQE joins small ones
-        planned = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        spark.conf.set(first_split, max(planned, 3 * spark.sparkContext.defaultParallelism))
     return spark
 
 
@@ -44,8 +41,8 @@ def build_session(app_name: str = "eventloom", master: str | None = None, **conf
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may go without: there the driver and its tasks share
-    one machine, so a temporary folder will do.
+    Only a local master may go without, as in tests: there the driver and its
+    tasks share one machine, so a temporary folder will do.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:

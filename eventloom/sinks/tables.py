@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,26 +62,19 @@ def _by_day(df: DataFrame, time_column: str, cluster_by: Sequence[str]) -> DataF
     return dated.hint("rebalance", F.col("day")).sortWithinPartitions("day", *cluster_by)
 
 
-def high_water_mark(df: DataFrame, time_column: str):
-    """Largest time in a table, or None when it has no rows."""
-    return df.agg(F.max(time_column)).first()[0]
-
-
-def rows_past_mark(df: DataFrame, time_column: str, mark) -> DataFrame:
-    """Rows later than ``mark``; rows without a time are never taken."""
-    timed = df.where(F.col(time_column).isNotNull())
-    return timed if mark is None else timed.where(F.col(time_column) > F.lit(mark))
-
-
 def append_incremental(df: DataFrame, path: str, time_column: str) -> None:
-    """Append the rows past the table's high-water mark.
+    """Append the rows past the table's high-water mark; rows without a time are never taken.
 
-    Rows that land out of order, or share the second of the mark, are lost;
+    The mark stays inside the query, so no clock or time zone of the driver takes
+    part. Rows that land out of order, or share the second of the mark, are lost;
     ``append_new`` finds those by key.
     """
     spark = df.sparkSession
-    mark = high_water_mark(spark.read.parquet(path), time_column) if path_exists(spark, path) else None
-    rows_past_mark(df, time_column, mark).write.mode("append").parquet(path)
+    rows = df.where(F.col(time_column).isNotNull())
+    if path_exists(spark, path):
+        mark = spark.read.schema(df.schema).parquet(path).agg(F.max(time_column)).scalar()
+        rows = rows.where(mark.isNull() | (F.col(time_column) > mark))
+    rows.write.mode("append").parquet(path)
 
 
 def append_new(
@@ -91,16 +83,20 @@ def append_new(
     """Append the rows whose keys are not stored yet, by day; rows without a time are left out.
 
     ``df`` has one row per key. Rows before the day ``since`` are passed over;
-    by default none are. Only the stored days the rows can be in are read.
+    by default none are. A row's day belongs to its key, so only the stored days
+    that the rows are in are compared.
     """
     spark = df.sparkSession
     rows = df.where(F.col(time_column).isNotNull())
     if since:
         rows = rows.where(F.col(time_column) >= F.lit(since).cast("timestamp"))
+    rows = rows.withColumn("day", F.col(time_column).cast("date"))
     if path_exists(spark, path):
-        first = F.lit(since).cast("date") if since else rows.agg(F.min(F.col(time_column).cast("date"))).scalar()
-        rows = without_keys(rows, read_by_day(spark, path, df.schema).where(F.col("day") >= first), keys)
-    _by_day(rows, time_column, keys).write.mode("append").partitionBy("day").parquet(path)
+        stored = read_by_day(spark, path, df.schema)
+        if since:
+            stored = stored.where(F.col("day") >= F.lit(since).cast("date"))
+        rows = without_keys(rows, stored, [*keys, "day"])
+    _by_day(rows.drop("day"), time_column, keys).write.mode("append").partitionBy("day").parquet(path)
 
 
 def read_by_day(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -108,16 +104,6 @@ def read_by_day(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     return spark.read.schema(T.StructType([*schema.fields, T.StructField("day", T.DateType())])).parquet(path)
 
 
-def last_day(spark: SparkSession, path: str) -> date | None:
-    """Latest day of a table stored by day, or None; lists files and opens none."""
-    if not path_exists(spark, path):
-        return None
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-    if "day" not in files.columns:
-        return None
-    return files.agg(F.max(F.col("day").cast("date"))).first()[0]
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     return _status(spark, path) is not None
 
@@ -139,28 +125,43 @@ def published_versions(spark: SparkSession, root: str) -> list[int]:
     return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in done)
 
 
-def read_published(spark: SparkSession, root: str) -> DataFrame | None:
-    """Latest finished version of a table, or None before the first."""
+def read_published(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame | None:
+    """Latest finished version of a table, or None before the first.
+
+    A table without rows may hold no file when it is stored by day; with its
+    schema given it is read all the same.
+    """
     versions = published_versions(spark, root)
-    return spark.read.parquet(f"{root}/version={versions[-1]}") if versions else None
+    if not versions:
+        return None
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{root}/version={versions[-1]}")
 
 
-def publish(df: DataFrame, root: str, keep: int = 3) -> int:
+def publish(df: DataFrame, root: str, time_column: str | None = None, cluster_by: Sequence[str] = ("repo_id",)) -> int:
     """Write ``df`` as the next version; readers move over once it is finished.
 
     ``df`` may read an earlier version of the same table. A job that dies half
     way leaves no success marker, and its folder is replaced by the next try.
-    The latest ``keep`` versions stay for readers that have begun.
+    With ``time_column`` the version is stored by day. Earlier versions stay for
+    readers that have begun, until ``drop_versions`` is called.
     """
-    spark = df.sparkSession
-    versions = published_versions(spark, root)
+    versions = published_versions(df.sparkSession, root)
     version = versions[-1] + 1 if versions else 1
-    df.write.mode("overwrite").parquet(f"{root}/version={version}")
-    for old in versions[: max(0, len(versions) + 1 - keep)]:
-        remove_folder(spark, f"{root}/version={old}")
+    path = f"{root}/version={version}"
+    if time_column is None:
+        write_table(df, path)
+    else:
+        write_mart(df, path, time_column, cluster_by)
     return version
 
 
+def drop_versions(spark: SparkSession, root: str, keep: int = 3) -> None:
+    """Remove all but the latest ``keep`` versions; call it when no reader of the others is left."""
+    for old in published_versions(spark, root)[:-keep]:
+        remove_folder(spark, f"{root}/version={old}")
+
+
 def upsert_table(updates: DataFrame, root: str, keys: Sequence[str]) -> int:
     """Publish the table with ``updates`` put in place of rows with equal keys."""
     stored = read_published(updates.sparkSession, root)

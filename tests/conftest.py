@@ -33,7 +33,7 @@ def spark(tmp_path_factory):
 
 @pytest.fixture
 def seed(spark):
-    return spark.createDataFrame([("renovate", "updates"), ("Travis-CI", "builds")], SEED)
+    return spark.createDataFrame([("renovate",), ("Travis-CI",)], SEED)
 
 
 def at(text: str) -> datetime:

@@ -43,6 +43,23 @@ def test_append_new_finds_late_rows_by_key(spark, tmp_path):
     assert values(spark.read.parquet(path)) == ["a", "b", "late", "same second"]
 
 
+def test_mark_does_not_pass_through_the_drivers_clock(spark, tmp_path, monkeypatch):
+    """The hour that a clock change repeats is two hours."""
+    import time
+
+    path = str(tmp_path / "t")
+    rows = spark.sql("SELECT 1L AS repo_id, timestamp_seconds(1446359400L + 3600 * id) AS t, 'v' AS v FROM range(2)")
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        for _ in range(3):
+            tables.append_incremental(rows, path, "t")
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+    assert spark.read.parquet(path).count() == 2
+
+
 def test_append_to_an_empty_table(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.append_incremental(frame(spark, []), path, "t")
@@ -81,3 +98,12 @@ def test_mart_is_partitioned_by_day_and_sorted(spark, tmp_path):
     tables.overwrite_partitions(frame(spark, [(1, DAY, "new")]), path, "t")
     again = spark.read.parquet(path)
     assert again.where(F.col("day") == "2024-01-01").count() == 1 and again.count() == 41
+
+
+def test_old_versions_stay_until_dropped(spark, tmp_path):
+    root = str(tmp_path / "t")
+    for i in range(5):
+        tables.publish(frame(spark, [(i, DAY, "a")]), root)
+    assert tables.published_versions(spark, root) == [1, 2, 3, 4, 5]
+    tables.drop_versions(spark, root, keep=2)
+    assert tables.published_versions(spark, root) == [4, 5]

@@ -7,32 +7,21 @@ same JSON payloads, hour folders and boundary copies as a landed archive.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom import schemas
 
-# Fixed value: first day taken from the derived archive.
+# The first day that the staging queries take from the derived
+# archive, and a day before all of it.
 START = "1995-02-01"
+BEGINNING = "1900-01-01"
 
 
-@lru_cache
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Hand the rows of a table of very few scan tasks to all cores.
-
-    A file with a single row group is one task on any cluster, and the JSON work
-    would follow in that task. Tables of many splits are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def plain(df: DataFrame) -> DataFrame:
     """Output form: instants as times without zone (UTC)."""
     instants = {f.name for f in df.schema if f.dataType.typeName() == "timestamp"}
@@ -51,7 +40,6 @@ def _numbered(prefix: str, number: str) -> Column:
     return F.concat(F.lit(prefix), F.col(number).cast("string"))
 
 
-@lru_cache
 def bot_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Known bots: the accounts in debt, in upper case."""
     suppliers = table(spark, sf_dir, "supplier").where("s_acctbal < 0")
@@ -101,7 +89,7 @@ def _pull_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
             _actor(author_id(), author_login()).alias("user"),
         ).alias("pull_request"),
     )
-    return _spread(table(spark, sf_dir, "orders")).select(
+    return table(spark, sf_dir, "orders").select(
         _numbered("P", "o_orderkey").alias("id"),
         F.lit("PullRequestEvent").alias("type"),
         _actor(F.col("o_custkey"), _numbered("user-", "o_custkey")).alias("actor"),
@@ -141,7 +129,7 @@ def _responses(rows: DataFrame, return_flag: str, event_type: str, payload: Colu
 
 def _all_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    rows = _spread(table(spark, sf_dir, "lineitem")).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = table(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     user = _actor(responder_id(), responder_login())
     time = _iso(_response_time())
     is_pull_request = F.col("l_linestatus") == "F"
@@ -169,14 +157,13 @@ def _all_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@lru_cache
 def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table in raw form."""
     kind = F.col("event_type")
     number = F.get_json_object("props", "$.k")
     half = F.when(F.dayofmonth("ts") <= 15, "early").otherwise("late")
     bot = F.when(F.col("value") > 150, "[bot]").otherwise("")
-    return _spread(table(spark, sf_dir, "events")).select(
+    return table(spark, sf_dir, "events").select(
         _numbered("E", "event_id").alias("id"),
         F.when(kind == "view", "PushEvent")
         .when(kind == "click", "WatchEvent")
@@ -203,7 +190,6 @@ def file_times(events: DataFrame) -> DataFrame:
     return events.withColumn("file_time", F.explode(F.when(F.minute(own) == 0, both).otherwise(F.array(own))))
 
 
-@lru_cache
 def archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze rows of the whole derived archive."""
     rows = (

@@ -8,6 +8,7 @@ from functools import wraps
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from eventloom import schemas
 from eventloom.functions.bots import with_bot_flag
 from eventloom.functions.columns import days, month_start, seconds_between, try_long
 from eventloom.operators import checks
@@ -17,13 +18,14 @@ from eventloom.operators.grouped import dedupe_events, first_per_group, latest_b
 from eventloom.operators.responses import first_response
 from eventloom.operators.rows import empty_history, row_differences, scd2_snapshot
 from eventloom.plans import lifecycle as lc
-from eventloom.plans import marts, staging
+from eventloom.plans import landing, marts, staging, warehouse
 from eventloom.session import configure, scratch_path
 from eventloom.sinks import tables as sinks
 from eventloom.sources import hours
-from eventloom.sources.bronze import landed_hours, read_bronze
+from eventloom.sources.bronze import landed_hours, read_bot_seed, read_bronze, read_timeline_bronze
 from eventloom.sources.raw import adapt_timeline, read_raw_events, to_bronze
 from workload.archive import (
+    BEGINNING,
     START,
     activity,
     archive,
@@ -138,10 +140,9 @@ def json_unnest(spark, sf_dir):
     )
 
 
-@query
-def timeline_adapter(spark, sf_dir):
+def _timeline_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events in the older shape; those of one kind carry no payload."""
-    raw = table(spark, sf_dir, "events").select(
+    return table(spark, sf_dir, "events").select(
         F.col("event_type").alias("type"),
         F.col("ts").cast("timestamp").alias("created_at"),
         F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("actor"),
@@ -153,44 +154,48 @@ def timeline_adapter(spark, sf_dir):
         ).alias("repository"),
         F.when(F.col("event_type") != "signup", F.col("props")).alias("payload"),
     )
-    return staging.stage_timeline(adapt_timeline(raw))
+
+
+@query
+def timeline_adapter(spark, sf_dir):
+    return staging.stage_timeline(adapt_timeline(_timeline_rows(spark, sf_dir)))
 
 
 # --- staging of the derived archive ------------------------------------------
 
 
-def _staged(stage, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(archive(spark, sf_dir), bot_seed(spark, sf_dir), START)
+def _staged(stage, spark: SparkSession, sf_dir: str, start: str = BEGINNING) -> DataFrame:
+    return stage(archive(spark, sf_dir), bot_seed(spark, sf_dir), start)
 
 
 @query
 def stage_pull_requests(spark, sf_dir):
-    return _staged(staging.stage_pull_requests, spark, sf_dir)
+    return _staged(staging.stage_pull_requests, spark, sf_dir, START)
 
 
 @query
 def stage_reviews(spark, sf_dir):
-    return _staged(staging.stage_reviews, spark, sf_dir)
+    return _staged(staging.stage_reviews, spark, sf_dir, START)
 
 
 @query
 def stage_review_comments(spark, sf_dir):
-    return _staged(staging.stage_review_comments, spark, sf_dir)
+    return _staged(staging.stage_review_comments, spark, sf_dir, START)
 
 
 @query
 def stage_issue_comments(spark, sf_dir):
-    return _staged(staging.stage_issue_comments, spark, sf_dir)
+    return _staged(staging.stage_issue_comments, spark, sf_dir, START)
 
 
 @query
 def stage_pushes(spark, sf_dir):
-    return _staged(staging.stage_pushes, spark, sf_dir)
+    return _staged(staging.stage_pushes, spark, sf_dir, START)
 
 
 @query
 def stage_watches(spark, sf_dir):
-    return _staged(staging.stage_watches, spark, sf_dir)
+    return _staged(staging.stage_watches, spark, sf_dir, START)
 
 
 def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -367,7 +372,10 @@ def mart_by_day(spark, sf_dir):
 
 
 def _first_batch(events: DataFrame) -> DataFrame:
-    return events.where((F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")) & (F.col("event_type") != "error"))
+    """The earlier half of the time range, less the errors."""
+    low, high = (events.agg(F.to_unix_timestamp(f("ts").cast("timestamp"))).scalar() for f in (F.min, F.max))
+    early = F.to_unix_timestamp(F.col("ts").cast("timestamp")) < F.floor((low + high) / 2)
+    return events.where(early & (F.col("event_type") != "error"))
 
 
 @query
@@ -403,20 +411,30 @@ def upsert_by_key(spark, sf_dir):
     return sinks.read_published(spark, root)
 
 
+def _stored_history(spark: SparkSession, root: str, snapshots, key: str, label: str) -> DataFrame:
+    """Change history after all ``snapshots`` (current rows, time), published after each."""
+    for current, as_of in snapshots:
+        history = sinks.read_published(spark, root)
+        if history is None:
+            history = empty_history(current, key, [label])
+        sinks.publish(scd2_snapshot(history, current, key, [label], as_of), root)
+    return sinks.read_published(spark, root)
+
+
 @query
 def scd2_history(spark, sf_dir):
-    """Three snapshots, each of the users active in ten days with their latest event type."""
+    """A snapshot for every ten days of the data, of the users active in them with their latest event type."""
     events = table(spark, sf_dir, "events")
     start = F.date_trunc("day", events.agg(F.min("ts")).scalar())
-    history = None
-    for step in (1, 2, 3):
-        since, until = start + days(10 * (step - 1)), start + days(10 * step)
-        window = events.where((F.col("ts") >= since) & (F.col("ts") < until))
-        current = latest_by(window, ["user_id"], "event_type", "ts")
-        if history is None:
-            history = empty_history(current, "user_id", ["event_type"])
-        history = scd2_snapshot(history, current, "user_id", ["event_type"], until)
-    return history
+    span = events.agg(F.date_diff(F.max("ts").cast("date"), F.min("ts").cast("date"))).first()[0]
+
+    def snapshots():
+        for step in range(1, span // 10 + 2):
+            since, until = start + days(10 * (step - 1)), start + days(10 * step)
+            window = events.where((F.col("ts") >= since) & (F.col("ts") < until))
+            yield latest_by(window, ["user_id"], "event_type", "ts"), until
+
+    return _stored_history(spark, scratch_path(spark, "history"), snapshots(), "user_id", "event_type")
 
 
 def _snapshots(spark: SparkSession, sf_dir: str, dim: Query, key: str, label: str) -> DataFrame:
@@ -425,13 +443,11 @@ def _snapshots(spark: SparkSession, sf_dir: str, dim: Query, key: str, label: st
     half = F.date_trunc("day", events.agg(F.min("ts")).scalar()) + days(15)
     end = F.date_trunc("day", events.agg(F.max("ts")).scalar()) + days(1)
     sources = _activity_sources(spark, sf_dir)
-    history = None
-    for as_of in (half, end):
-        current = dim(**{name: df.where(F.col("event_created_at") < as_of) for name, df in sources.items()})
-        if history is None:
-            history = empty_history(current, key, [label])
-        history = scd2_snapshot(history, current, key, [label], as_of)
-    return history
+    taken = (
+        (dim(**{name: df.where(F.col("event_created_at") < as_of) for name, df in sources.items()}), as_of)
+        for as_of in (half, end)
+    )
+    return _stored_history(spark, scratch_path(spark, "history"), taken, key, label)
 
 
 @query
@@ -477,32 +493,159 @@ def _table_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _lifecycle_by_year(spark: SparkSession, sf_dir: str, settings: lc.LifecycleSettings) -> DataFrame:
-    """Refresh the lifecycle table once per year, with what had landed by its end."""
+def _by_year(spark: SparkSession, sf_dir: str):
+    """(all pull requests, all responses, first year, last year) of the tables, the responses stored by day."""
     prs = _table_prs(spark, sf_dir)
     stored = scratch_path(spark, "responses")
-    sinks.write_table(_table_responses(spark, sf_dir), stored)
-    responses = spark.read.parquet(stored)
+    responses = _table_responses(spark, sf_dir)
+    sinks.write_mart(responses, stored, "responded_at")
+    responses = sinks.read_by_day(spark, stored, responses.schema)
     times = prs.agg(F.year(F.min("landed_at")), F.year(F.max("landed_at"))).first()
     last_response = responses.agg(F.year(F.max("responded_at"))).first()[0]
+    return prs, responses, times[0], max(times[1], last_response)
+
+
+@query
+def lifecycle_incremental(spark, sf_dir):
+    """The lifecycle table brought up to date once per year with what had landed in it."""
+    prs, responses, first, last = _by_year(spark, sf_dir)
     root = scratch_path(spark, "lifecycle")
-    for year in range(times[0], max(times[1], last_response) + 1):
+    for year in range(first, last + 1):
+        end = F.lit(f"{year + 1}-01-01").cast("timestamp")
+        landed, answered = prs.where(F.col("landed_at") < end), responses.where(F.col("responded_at") < end)
+        known = landed.drop("landed_at")
+        previous = sinks.read_published(spark, root)
+        if previous is None:
+            rows = lc.pr_lifecycle(known, answered)
+        else:
+            new = landed.where(F.year("landed_at") == year), answered.where(F.year("responded_at") == year)
+            rows = lc.pr_lifecycle_update(previous, lc.touched_authors(previous, *new), known, answered)
+        sinks.publish(rows, root)
+    return sinks.read_published(spark, root)
+
+
+@query
+def lifecycle_with_age_limit(spark, sf_dir):
+    """The same when items are watched for 365 days only, so some late responses are passed over."""
+    prs, responses, first, last = _by_year(spark, sf_dir)
+    root = scratch_path(spark, "lifecycle")
+    for year in range(first, last + 1):
         end = F.lit(f"{year + 1}-01-01").cast("timestamp")
         lc.refresh_lifecycle(
             spark,
             root,
             prs.where(F.col("landed_at") < end).drop("landed_at"),
             responses.where(F.col("responded_at") < end),
-            settings,
+            lc.LifecycleSettings(max_age_days=365),
             as_of=end,
         )
     return sinks.read_published(spark, root)
 
 
+# --- the warehouse from landed files -------------------------------------------------
+
+
+def _monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived archive in two files a month, since it has an event in almost every hour of seven years."""
+    return archive(spark, sf_dir).withColumn("dt", F.trunc("dt", "month")).withColumn(
+        "hour", F.when(F.crc32("id") % 2 == 0, 12).otherwise(0)
+    )
+
+
+def _refreshed_warehouse(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """A warehouse after three landings, each of every third month of all years.
+
+    The first landing has some files with rows left out and others made up; the
+    third lands these again as they should be.
+    """
+    bronze, root = scratch_path(spark, "bronze"), scratch_path(spark, "warehouse")
+    seed = bot_seed(spark, sf_dir)
+    rows = _monthly(spark, sf_dir)
+    batch = (12 * F.year("dt") + F.month("dt")) % 3
+    wrong = (F.col("hour") == 12) & (batch == 0)
+    landings = [
+        rows.where((batch == 0) & ~(wrong & (F.crc32("id") % 8 == 0))).withColumn(
+            "payload",
+            F.when(wrong, F.regexp_replace("payload", r'"number":(\d)', '"number":7$1')).otherwise(F.col("payload")),
+        ),
+        rows.where(batch == 1),
+        rows.where((batch == 2) | wrong),
+    ]
+    for landing in landings:
+        sinks.write_bronze(landing.hint("rebalance", F.col("dt"), F.col("hour")), bronze)
+        warehouse.refresh_events(spark, bronze, root, BEGINNING)
+        warehouse.refresh_marts(spark, root, seed)
+    return root, seed
+
+
+@query
+def warehouse_refresh(spark, sf_dir):
+    """Lifecycle table of the warehouse after late files and files landed again."""
+    root, _ = _refreshed_warehouse(spark, sf_dir)
+    return warehouse.read_table(spark, root, "lifecycle")
+
+
+@query
+def warehouse_views(spark, sf_dir):
+    """Rows of the other tables of that warehouse, asked for in SQL over its views."""
+    root, seed = _refreshed_warehouse(spark, sf_dir)
+    warehouse.register_views(spark, root, seed)
+    return spark.sql(
+        """
+        SELECT 'daily' AS name, repo_id AS key_1, unix_date(activity_date) AS key_2,
+            push_count AS n, pr_opened_count + 1000 * watch_count AS m, CAST(NULL AS STRING) AS label
+        FROM fct_repo_daily_activity
+        UNION ALL
+        SELECT 'cohort', repo_id, pr_author_id, total_prs_opened, unix_seconds(first_contribution_at), pr_author_login
+        FROM fct_contributor_cohorts
+        UNION ALL
+        SELECT 'repo', repo_id, NULL, unix_seconds(first_seen_at), unix_seconds(last_seen_at), repo_name FROM dim_repo
+        UNION ALL
+        SELECT 'actor', actor_id, CAST(is_bot_actor AS BIGINT), unix_seconds(first_seen_at), unix_seconds(last_seen_at),
+            actor_login
+        FROM dim_actor
+        UNION ALL
+        SELECT 'latency', repo_id, pr_number, review_latency_seconds, CAST(opened_year AS BIGINT), pr_author_login
+        FROM fct_pr_review_latency
+        UNION ALL
+        SELECT 'response', repo_id, pr_number, responder_id, unix_seconds(responded_at), NULL
+        FROM int_review_candidates
+        """
+    )
+
+
 @query
-def lifecycle_incremental(spark, sf_dir):
-    """Equal to a full refresh when items are watched for longer than the data lasts."""
-    return _lifecycle_by_year(spark, sf_dir, lc.LifecycleSettings(max_age_days=5000))
+def replace_hour(spark, sf_dir):
+    """An hour of each day landed twice, the second time with half of its rows."""
+    path = scratch_path(spark, "bronze")
+    rows = activity(spark, sf_dir).select("*", F.col("created_at").cast("date").alias("dt"), F.hour("created_at").alias("hour"))
+    rows = rows.withColumn("org", F.lit(None).cast(schemas.ORG)).select(schemas.BRONZE.fieldNames())
+    sinks.write_bronze(rows, path)
+    sinks.write_bronze(rows.where("hour = 7 AND type <> 'WatchEvent'"), path)
+    return read_bronze(spark, path).groupBy("dt", "hour", "type").agg(F.count("*").alias("row_count"))
+
+
+@query
+def land_timeline_files(spark, sf_dir):
+    """Timeline files landed and read back, with a second call that finds nothing to land."""
+    raw, root = scratch_path(spark, "timeline"), scratch_path(spark, "timeline-bronze")
+    rows = _timeline_rows(spark, sf_dir)
+    name = F.concat(F.date_format("created_at", "yyyy-MM-dd-"), F.lit("0.json"))
+    lines = F.to_json(F.struct("*"), {"ignoreNullFields": "true", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"})
+    lines = rows.select(name.alias("file"), lines.alias("value"))
+    lines.hint("rebalance", F.col("file")).write.partitionBy("file").option("compression", "gzip").text(raw)
+    for _ in range(2):
+        landing.land_timeline(spark, f"{raw}/*", root)
+    return staging.stage_timeline(read_timeline_bronze(spark, root))
+
+
+@query
+def bot_flag_from_csv(spark, sf_dir):
+    """The flag of each account of the events, by a seed read from a CSV file."""
+    path = scratch_path(spark, "seed")
+    bot_seed(spark, sf_dir).write.option("header", True).csv(path)
+    accounts = activity(spark, sf_dir).select(F.col("actor.login").alias("actor_login")).distinct()
+    return with_bot_flag(accounts, "actor_login", read_bot_seed(spark, path), "is_bot_actor")
 
 
 # --- checks ---------------------------------------------------------------------
