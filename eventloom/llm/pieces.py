@@ -4,10 +4,12 @@ A text is cut into chunks (a run of blanks with the word or the signs behind it,
 or a line feed) that no piece of the vocabulary spans, so chunks encode on their own. In
 each chunk the agenda takes the best-scored pair of neighbours, leftmost first,
 and merges it, until no pair makes a piece. A candidate merge is skipped when a
-keyed hash of (seed, variant, chunk, both pieces, place in the chunk) falls below
-``dropout``: the same key gives the same pieces on any executor, another key other
-ones. Each document takes one of ``VARIANTS`` variants by a hash of its key, so
-that chunks recur and a worker keeps the pieces of a bounded number of them.
+keyed hash of (seed, key of the document, number of the chunk in its text, both
+pieces, place in the chunk) falls below ``dropout``: the same key gives the same
+pieces on any executor, and every occurrence of a chunk is decided on its own. A
+worker keeps, for a bounded number of chunks, the merges taken without dropout and
+the pieces these give. An occurrence that skips none of them has these pieces, as a
+skipped candidate that is never taken changes nothing; all others are merged anew.
 
 Short chunks are merged many at a time, in arrays; long ones with a heap. Both
 take the same merges. Without dropout the ids are those of the sentencepiece
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from hashlib import blake2b
 from heapq import heapify, heappop, heappush
 from zlib import crc32
 
@@ -32,7 +35,6 @@ from pyspark.sql import functions as F
 
 from eventloom.llm.common import mix, steps
 
-VARIANTS = 4
 LONGEST_IN_ARRAYS = 40
 MOST_CHUNKS, MOST_CHARS = 400_000, 8_000_000
 SPACE = "▁"
@@ -134,8 +136,8 @@ def skips(left: np.ndarray, right: np.ndarray, place: np.ndarray, key: np.ndarra
     return (mixed >> np.uint64(11)).astype(np.float64) < dropout * 2.0**53
 
 
-def agenda(pieces: Pieces, symbols: list[int], key: int, dropout: float) -> list[int]:
-    """Symbols of one chunk merged with a heap of candidates."""
+def agenda(pieces: Pieces, symbols: list[int], key: int, dropout: float, taken: list | None = None) -> list[int]:
+    """Symbols of one chunk merged with a heap of candidates; ``taken`` gets (left, right, place) of the merges."""
     n = len(symbols)
     left, right, alive = list(range(-1, n - 1)), list(range(1, n + 1)), [True] * n
     symbols = list(symbols)
@@ -155,6 +157,8 @@ def agenda(pieces: Pieces, symbols: list[int], key: int, dropout: float) -> list
         _, i, a, b, merged = heappop(heap)
         if not alive[i] or symbols[i] != a or right[i] >= n or symbols[right[i]] != b:
             continue
+        if taken is not None:
+            taken.append((a, b, i))
         gone = right[i]
         symbols[i], alive[gone], right[i] = merged, False, right[gone]
         if right[i] < n:
@@ -164,9 +168,13 @@ def agenda(pieces: Pieces, symbols: list[int], key: int, dropout: float) -> list
     return [s for s, a in zip(symbols, alive, strict=True) if a]
 
 
-def in_arrays(pieces: Pieces, symbols: np.ndarray, keys: np.ndarray, dropout: float) -> np.ndarray:
+def in_arrays(
+    pieces: Pieces, symbols: np.ndarray, keys: np.ndarray, dropout: float, taken: list | None = None
+) -> np.ndarray:
     """What ``agenda`` gives for each of many short chunks, a round of merges at a time.
 
+    ``taken`` gets (rows, left, right, place) of each round's merges.
+
     ``symbols`` has a row for each chunk, filled up with -1, and at least one -1 at
     the end of each; so has the result.
     """
@@ -195,6 +203,8 @@ def in_arrays(pieces: Pieces, symbols: np.ndarray, keys: np.ndarray, dropout: fl
         done, best, keys = done[busy], best[busy], keys[busy]
         symbols, places, merged, ranks = symbols[busy], places[busy], merged[busy], ranks[busy]
         rows = np.arange(len(done))
+        if taken is not None and len(done):
+            taken.append((done, symbols[rows, best], symbols[rows, best + 1], places[rows, best]))
         symbols[rows, best] = merged[rows, best]
         take = np.minimum(columns + (columns > best[:, None]), width)  # all but the second of the pair
         symbols, places, merged, ranks = (np.take_along_axis(x, take, 1) for x in (symbols, places, merged, ranks))
@@ -205,34 +215,58 @@ def in_arrays(pieces: Pieces, symbols: np.ndarray, keys: np.ndarray, dropout: fl
     return out
 
 
+class _Runs:
+    """Runs of values, one behind the other, that are added and looked up by number."""
+
+    def __init__(self, kind: type):
+        self.values = np.empty(1 << 20, kind)
+        self.ends = np.zeros(1 << 18, np.int64)  # a run starts where the one before ends
+        self.count = 0
+
+    def add(self, values: np.ndarray, ends: np.ndarray) -> None:
+        start = int(self.ends[self.count - 1]) if self.count else 0
+        while self.count + len(ends) > len(self.ends):
+            self.ends = np.concatenate((self.ends, np.zeros_like(self.ends)))
+        while start + len(values) > len(self.values):
+            self.values = np.concatenate((self.values, np.empty_like(self.values)))
+        self.values[start : start + len(values)] = values
+        self.ends[self.count : self.count + len(ends)] = start + ends
+        self.count += len(ends)
+
+    def of(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values of some runs in turn, and the size of each run."""
+        starts = np.where(at > 0, self.ends[at - 1], 0)
+        sizes = self.ends[at] - starts
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.values[np.repeat(starts - ends + sizes, sizes) + np.arange(total)], sizes
+
+
 class Encoder:
-    """Encodes texts; keeps the pieces of a bounded number of chunks per variant."""
+    """Encodes texts; keeps a bounded number of chunks as they are without dropout."""
 
     def __init__(self, path: str, dropout: float, seed: int):
         self.pieces, self.dropout, self.seed = _pieces(path), dropout, seed
-        self.kept: list[dict[str, int]] = [{} for _ in range(VARIANTS)]
         self.forget()
 
     def forget(self) -> None:
-        for places in self.kept:
-            places.clear()
-        self.count = self.chars = 0
-        self.ids = np.empty(1 << 20, np.int32)
-        self.ends = np.zeros(1 << 18, np.int64)  # of each chunk's ids; a chunk starts where the one before ends
-
-    def variant(self, key: str | None) -> int:
-        return crc32(f"{self.seed} {key}".encode()) % VARIANTS
-
-    def merge(self, chunks: list[str], variant: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the chunks in turn, and the number of each chunk's ids."""
+        self.kept: dict[str, int] = {}
+        self.chars = 0
+        self.ids = _Runs(np.int32)
+        self.taken = _Runs(np.uint64)  # left piece, right piece and place of each merge
+        self.places = _Runs(np.int32)
+
+    def key_of(self, key: str | None) -> int:
+        return int.from_bytes(blake2b(f"{self.seed} {key}".encode(), digest_size=8).digest(), "little")
+
+    def merge(
+        self, chunks: list[str], keys: np.ndarray, dropout: float, taken: list | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the chunks in turn, and where each one's end; ``taken`` gets (chunks, left, right, place) of merges."""
         lengths = np.array([len(c) for c in chunks])
         ends = np.cumsum(lengths)
         starts = ends - lengths
         symbols = self.pieces.symbols("".join(chunks))
-        # a chunk's key follows from its symbols, so it is the same in any batch
-        within = (np.arange(len(symbols)) - np.repeat(starts, lengths)).astype(np.uint64)
-        codes = np.add.reduceat(mix(symbols.astype(np.uint64) + (within << np.uint64(40))), starts)
-        keys = mix(mix(codes + np.uint64(variant)) ^ np.uint64(self.seed))
         counts, found = np.zeros(len(chunks), np.int64), {}
         width = np.minimum(-(-lengths // 4) * 4, LONGEST_IN_ARRAYS)
         order = np.argsort(width, kind="stable")
@@ -241,14 +275,21 @@ class Encoder:
             rows = order[width[order] == w]
             long = rows[lengths[rows] > LONGEST_IN_ARRAYS]
             for i in long:
-                found[int(i)] = agenda(self.pieces, symbols[starts[i] : ends[i]].tolist(), int(keys[i]), self.dropout)
+                merges = None if taken is None else []
+                row = symbols[starts[i] : ends[i]].tolist()
+                found[int(i)] = agenda(self.pieces, row, int(keys[i]), dropout, merges)
+                if merges:
+                    taken.append((np.full(len(merges), i), *np.array(merges, np.int64).T))
             rows = rows[lengths[rows] <= LONGEST_IN_ARRAYS]
             for low in range(0, len(rows), 8192):
                 part = rows[low : low + 8192]
                 inside = np.arange(w) < lengths[part][:, None]
                 table = np.full((len(part), int(w) + 1), -1, np.int64)
                 table[:, :-1][inside] = symbols[(starts[part][:, None] + np.arange(w))[inside]]
-                table = in_arrays(self.pieces, table, keys[part], self.dropout)
+                rounds = None if taken is None else []
+                table = in_arrays(self.pieces, table, keys[part], dropout, rounds)
+                for done, *merges in rounds or ():
+                    taken.append((part[done], *merges))
                 odd = ((table < -1) | (table >= self.pieces.size)).any(axis=1)
                 for i, row in zip(part[odd], table[odd], strict=True):
                     found[int(i)] = row[row != -1].tolist()
@@ -267,46 +308,60 @@ class Encoder:
             ids[np.repeat(ends[rows] - upto, sizes) + np.arange(len(flat))] = flat
         return ids, ends
 
-    def _learn(self, chunks: list[str], variant: int) -> None:
-        ids, ends = self.merge(chunks, variant)
-        first = self.count
-        start = int(self.ends[first - 1]) if first else 0
-        while first + len(chunks) > len(self.ends):
-            self.ends = np.concatenate((self.ends, np.zeros_like(self.ends)))
-        while start + len(ids) > len(self.ids):
-            self.ids = np.concatenate((self.ids, np.empty_like(self.ids)))
-        self.kept[variant].update(zip(chunks, range(first, first + len(chunks)), strict=True))
-        self.ids[start : start + len(ids)] = ids
-        self.ends[first : first + len(chunks)] = start + ends
-        self.count += len(chunks)
+    def _learn(self, chunks: list[str]) -> None:
+        taken: list[tuple] = []
+        ids, ends = self.merge(chunks, np.zeros(len(chunks), np.uint64), 0.0, taken)
+        self.kept.update(zip(chunks, range(len(self.kept), len(self.kept) + len(chunks)), strict=True))
         self.chars += sum(map(len, chunks))
+        self.ids.add(ids, ends)
+        none = np.empty(0, np.int64)
+        of, left, right, place = (np.concatenate(c) for c in zip((none,) * 4, *taken, strict=True))
+        order = np.argsort(of, kind="stable")
+        upto = np.cumsum(np.bincount(of, minlength=len(chunks)))
+        pairs = left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64)
+        self.taken.add(pairs[order], upto)
+        self.places.add(place[order], upto)
+
+    def _plain(self, at: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Whether occurrences of kept chunks skip none of the merges taken without dropout."""
+        plain = np.ones(len(at), bool)
+        if self.dropout <= 0:
+            return plain
+        pairs, sizes = self.taken.of(at)
+        places, _ = self.places.of(at)
+        rows = np.repeat(np.arange(len(at)), sizes)
+        drop = skips(pairs >> np.uint64(32), pairs & np.uint64(2**32 - 1), places, keys[rows], self.dropout)
+        plain[rows[drop]] = False
+        return plain
 
     def encode(self, texts: list[str | None], keys: list[str | None]) -> list[np.ndarray | None]:
-        if self.count > MOST_CHUNKS or self.chars > MOST_CHARS:
+        if len(self.kept) > MOST_CHUNKS or self.chars > MOST_CHARS:
             self.forget()
         cut = [self.pieces.cut(" " + t) if t else [] for t in texts]
-        variants = [self.variant(k) for k in keys]
-        found = [list(map(self.kept[v].get, chunks)) for chunks, v in zip(cut, variants, strict=True)]
-        new: list[dict[str, None]] = [{} for _ in range(VARIANTS)]
-        gaps = []
-        for chunks, at, v in zip(cut, found, variants, strict=True):
-            gaps.append([k for k, place in enumerate(at) if place is None] if None in at else ())
-            new[v].update(dict.fromkeys(chunks[k] for k in gaps[-1]))
-        for v, chunks in enumerate(new):
-            if chunks:
-                self._learn(list(chunks), v)
-        out = []
-        for text, chunks, at, gap, v in zip(texts, cut, found, gaps, variants, strict=True):
-            for k in gap:
-                at[k] = self.kept[v][chunks[k]]
-            place = np.array(at, np.int64)
-            starts = np.where(place > 0, self.ends[place - 1], 0)
-            sizes = self.ends[place] - starts
-            ends = np.cumsum(sizes)
-            total = int(ends[-1]) if len(ends) else 0
-            ids = self.ids[np.repeat(starts - ends + sizes, sizes) + np.arange(total)]
-            out.append(None if text is None else ids)
-        return out
+        chunks = [c for part in cut for c in part]
+        count = np.array([len(part) for part in cut], np.int64)
+        last = np.cumsum(count)
+        if new := [c for c in dict.fromkeys(chunks) if c not in self.kept]:
+            self._learn(new)
+        at = np.array([self.kept[c] for c in chunks], np.int64)
+        number = np.arange(len(chunks)) - np.repeat(last - count, count)
+        docs = np.repeat(np.array([self.key_of(k) for k in keys], np.uint64), count)
+        own = mix(mix(docs) + number.astype(np.uint64))
+        plain = self._plain(at, own)
+        ids, sizes = self.ids.of(at[plain])
+        counts = np.zeros(len(chunks), np.int64)
+        counts[plain] = sizes
+        odd = np.flatnonzero(~plain)
+        if len(odd):
+            others, ends = self.merge([chunks[i] for i in odd], own[odd], self.dropout)
+            counts[odd] = np.diff(ends, prepend=0)
+            out = np.empty(int(counts.sum()), np.int32)
+            from_kept = np.repeat(plain, counts)
+            out[from_kept], out[~from_kept] = ids, others
+            ids = out
+        ends = np.concatenate(([0], np.cumsum(counts)))
+        bounds = zip(ends[last - count], ends[last], strict=True)
+        return [None if text is None else ids[low:high] for text, (low, high) in zip(texts, bounds, strict=True)]
 
 
 _PIECES: dict[str, Pieces] = {}
@@ -337,7 +392,7 @@ def _encoded(work: Encoder, texts: pa.Array, keys: pa.Array) -> Iterator[tuple[l
 
 
 def encode(text: Column, key: Column, path: str, dropout: float = 0.1, seed: int = 0) -> Column:
-    """Ids of each text, with the variant of its key."""
+    """Ids of each text, with the dropout of its key."""
 
     @F.arrow_udf("array<int>")
     def encoded(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:

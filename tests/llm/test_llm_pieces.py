@@ -64,6 +64,21 @@ def test_dropout_varies_and_repeats():
     assert pieces.encoder(PATH, 1.0, 0).encode(["abc"], [""])[0].tolist() == [LIBRARY.piece_to_id(p) for p in "▁abc"]
 
 
+def test_every_occurrence_is_decided_on_its_own():
+    """Occurrences of a word in one text, and in many, take many forms, each as the agenda gives it for its key."""
+    work, count = pieces.Encoder(PATH, 0.1, 3), 3000
+    chunk = " " + "international"
+    ids = work.encode([chunk[1:] + chunk * (count - 1)], ["k"])[0].tolist()
+    docs = np.full(count, work.key_of("k"), np.uint64)
+    own = pieces.mix(pieces.mix(docs) + np.arange(count, dtype=np.uint64))
+    symbols = work.pieces.symbols(chunk).tolist()
+    each = [pieces.agenda(work.pieces, symbols, int(k), 0.1) for k in own]
+    assert ids == [i for row in each for i in row]
+    assert len(set(map(tuple, each))) > 20
+    seen = {tuple(work.encode([chunk[1:]], [str(k)])[0]) for k in range(count)}
+    assert len(seen) > 20
+
+
 def test_long_texts_and_forgetting(monkeypatch):
     monkeypatch.setattr(pieces, "MOST_CHUNKS", 10)
     work = pieces.Encoder(PATH, 0.1, 1)
