@@ -1,7 +1,10 @@
 """License scan: places of phrases, and text blocks that contain a license template.
 
-A block is a line, as a set of words; a template is found in a block that holds
-at least ``CONTAINMENT`` of the template's words. The search is a set-similarity
+A block is a line, or a run of words of the text that does not depend on line ends,
+as a set of words. Runs are twice as long as the longest template and start at every
+multiple of its length, so a wording that wraps over lines is whole in one of them.
+A template is found in a block that holds at least ``CONTAINMENT`` of the template's
+words; texts that do not have so many of any template are not cut. The search is a set-similarity
 join on words in one order, rarest in the corpus first (ties by the word):
 
 * prefix filter: a block with enough words of a template has one of the template's
@@ -24,7 +27,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +37,6 @@ from eventloom.llm.urls import LOWER, UPPER
 
 # Words of lower-cased text, and the same words before lower-casing.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 CONTAINMENT = 0.8
 MAX_TEMPLATES = 500
 
@@ -119,17 +121,43 @@ def template_matches(blocks: DataFrame, templates: list[tuple[str, str]], least:
     )
 
 
+def _may_hold(known: Column, templates: Sequence[tuple[str, str]], least: float) -> Column:
+    """Whether some template has enough of its words among ``known``."""
+    sets = [sorted(set(text.split())) for text, _ in templates if text.split()]
+    enough = [
+        F.size(F.array_intersect(known, _literal(words))) >= math.ceil(least * len(words) - 1e-9) for words in sets
+    ]
+    return reduce(or_, enough, F.lit(False))
+
+
+def _blocks(text: Column, words: Column, templates: Sequence[tuple[str, str]]) -> Column:
+    """The blocks of a text, lines and runs, less words that no template has."""
+    vocabulary = _literal(sorted({w for wording, _ in templates for w in wording.split()}))
+    longest = max((len(wording.split()) for wording, _ in templates), default=1)
+    starts = F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(1)), F.lit(max(longest, 1)))
+    runs = F.transform(starts, lambda at: F.array_intersect(F.slice(words, at, 2 * longest), vocabulary))
+    lines = F.transform(F.split(text, "\n"), lambda line: F.array_intersect(words_of(line), vocabulary))
+    return F.filter(F.concat(lines, runs), lambda block: F.size(block) > 0)
+
+
 def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, least: float = CONTAINMENT) -> DataFrame:
     """One row per document (doc_id, text) with phrase counts, labels and score; see the module's text."""
     vocabulary = sorted({w for text, _ in templates for w in text.split()})
     text = F.coalesce(F.col("text"), F.lit(""))
-    lines = F.transform(F.split(text, "\n"), lambda line: F.array_intersect(words_of(line), _literal(vocabulary)))
-    lines = F.filter(lines, lambda words: F.size(words) > 0) if vocabulary else F.array().cast("array<array<string>>")
-    words = F.when(text.rlike(f"(?i){KEYWORD}"), words_of(text)).otherwise(F.array().cast("array<string>"))
+    none, no_blocks = F.array().cast("array<string>"), F.array().cast("array<array<string>>")
+    every = F.col("every")
+    words = F.when(text.rlike(f"(?i){KEYWORD}"), every).otherwise(none)
+    blocks = F.when(_may_hold(F.col("known"), templates, least), _blocks(text, every, templates)).otherwise(no_blocks)
     per_phrase = [phrase_starts(F.col("words"), phrase) for phrase in PHRASES]
     kept = stored(
-        docs.select("doc_id", "text")
-        .select("doc_id", F.regexp_count(text, F.lit(ANY_CASE)).cast("long").alias("n_words"), words.alias("words"), lines.alias("blocks"))
+        docs.select("doc_id", "text", words_of(text).alias("every"))
+        .select("*", (F.array_intersect(every, _literal(vocabulary)) if vocabulary else none).alias("known"))
+        .select(
+            "doc_id",
+            F.size(every).cast("long").alias("n_words"),
+            words.alias("words"),
+            (blocks if vocabulary else no_blocks).alias("blocks"),
+        )
         .select(
             "doc_id",
             "n_words",
