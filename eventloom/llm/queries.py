@@ -8,7 +8,20 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import chat, decontaminate, langid, licenses, neardup, passages, pieces, tokenfile, topk, urls
+from eventloom.llm import (
+    chat,
+    decontaminate,
+    langid,
+    licenses,
+    neardup,
+    passages,
+    pieces,
+    repair,
+    resample,
+    tokenfile,
+    topk,
+    urls,
+)
 from eventloom.session import configure, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,3 +147,19 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with a passage of a benchmark item, and the item."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document in a draw towards the benchmark's texts."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
+    return resample.resample(docs, table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repair of every conversation after damage."""
+    rows = table(spark, sf_dir, "conversations")
+    return repair.damage_report(
+        rows.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    )
