@@ -18,6 +18,7 @@ from eventloom.llm import (
     pieces,
     repair,
     resample,
+    suffixes,
     tokenfile,
     topk,
     urls,
@@ -163,3 +164,10 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.damage_report(
         rows.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
     )
+
+
+@query
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document loses when bytes of strings that start earlier too are removed."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long"), "text")
+    return suffixes.digests(suffixes.with_repeats(docs))

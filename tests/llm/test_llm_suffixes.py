@@ -1,0 +1,89 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from eventloom.llm import suffixes
+
+
+def plain(docs, length):
+    """Digest rows by looking up every string of every document, earliest first."""
+    order = sorted(docs, key=lambda d: (suffixes.LARGEST_ID if d[0] is None else d[0]))
+    seen, out = set(), []
+    for doc_id, text in order:
+        data = (text or "").encode()
+        gone = bytearray(len(data))
+        for i in range(len(data) - length + 1):
+            string = data[i : i + length]
+            if string in seen:
+                gone[i : i + length] = b"\1" * length
+            seen.add(string)
+        kept = bytes(b for b, g in zip(data, gone) if not g)
+        spans = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
+        out.append((doc_id, len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def found(spark, docs, **options):
+    frame = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("*", "1 AS id", "'x' AS mark", "2 AS at")
+    rows = suffixes.digests(suffixes.with_repeats(frame.repartition(3), **options)).collect()
+    return sorted([tuple(r) for r in rows], key=str)
+
+
+def corpus(seed, letters, docs=40):
+    """Texts with pieces of one another, edited here and there, and runs of one letter."""
+    rng = random.Random(seed)
+    made = []
+    for i in range(docs):
+        text = "".join(rng.choices(letters, k=rng.randrange(300)))
+        for _ in range(rng.randrange(4)):
+            if made:
+                source = rng.choice(made)[1]
+                low = rng.randrange(len(source) + 1)
+                piece = source[low : low + rng.choice([60, 99, 100, 101, 160, 400])]
+                if rng.random() < 0.4 and piece:
+                    at = rng.randrange(len(piece))
+                    piece = piece[:at] + rng.choice(letters) + piece[at + 1 :]
+                text += piece
+            text += rng.choice(["", "", "a" * 250, "ab" * 90])
+        made.append((i * 3, text))
+    return made
+
+
+@pytest.mark.parametrize("letters", ["ab", "abcdefgh ", "äbß漢 x"])
+def test_against_a_set_of_strings(spark, monkeypatch, letters):
+    monkeypatch.setattr(suffixes, "PIECE", 700)  # so long texts are cut
+    monkeypatch.setattr(suffixes, "PACK", 500)
+    docs = corpus(len(letters), letters)
+    docs += [(500, docs[7][1] + docs[9][1] * 3), (501, docs[7][1]), (502, None), (503, ""), (None, docs[3][1] + "end")]
+    assert found(spark, docs) == sorted(plain(docs, 100), key=str)
+
+
+def test_many_surroundings_and_other_lengths(spark):
+    """The way for seeds with many surroundings gives the same."""
+    docs = corpus(9, "abcde ", 60)
+    assert found(spark, docs, most=1) == sorted(plain(docs, 100), key=str)
+    assert found(spark, docs, length=80, most=3) == sorted(plain(docs, 80), key=str)
+
+
+def test_equal_ids_and_empty(spark):
+    rng = random.Random(4)
+    text, other = ("".join(rng.choices("abcdef", k=300)) for _ in range(2))
+    rows = found(spark, [(1, text), (1, text), (2, other + text), (2, text), (3, "short")])
+    by_id = {}
+    for r in rows:
+        by_id.setdefault(r[0], []).append(r[1:4])
+    # equal rows are one document; of two texts with one id, one is the later
+    assert by_id[1] == [(300, 0, 0)] * 2 and by_id[3] == [(5, 0, 0)]
+    assert sorted(by_id[2]) == [(300, 300, 1), (600, 300, 1)]
+    assert found(spark, []) == []
+
+
+def test_cover():
+    differences = {(a - b) % suffixes.PERIOD for a in suffixes.COVER for b in suffixes.COVER}
+    assert differences == set(range(suffixes.PERIOD))
+    low, high = suffixes.merged(np.array([5, -3, 9, 30]), np.array([9, 2, 12, 50]), 40)
+    assert (low.tolist(), high.tolist()) == ([0, 5, 30], [2, 12, 40])
