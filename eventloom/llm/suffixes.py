@@ -50,9 +50,10 @@ PERIOD, COVER = 31, (0, 1, 3, 8, 12, 18)
 
 #: Bytes of a text that are looked at together, and anchors that are packed together.
 PIECE = 1 << 20
-PACK = 1 << 20
-#: Bytes of text for each bucket, which makes half a million anchors.
-BUCKET_BYTES = 16 << 20
+PACK = 1 << 18
+#: Bytes of text for each bucket, which makes some 130,000 anchors, and buckets for each task, one after the other.
+BUCKET_BYTES = 4 << 20
+TASK_BUCKETS = 4
 #: Different surroundings of a seed that are sorted as one bucket.
 MOST = 50_000
 LARGEST_ID = (1 << 63) - 1
@@ -201,9 +202,10 @@ def _pack_anchors(length: int, buckets: int):
         edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
         used = np.flatnonzero(np.diff(edges))
         payloads = [_packed(rows[order[edges[b] : edges[b + 1]]]) for b in used]
-        none = pa.nulls(len(used), pa.int64())
-        columns = [none, none, none, none, pa.array(used, pa.int32()), pa.nulls(len(used), pa.int32())]
-        yield pa.RecordBatch.from_arrays([*columns, pa.array(payloads, pa.binary())], _NAMES)
+        for low in range(0, len(used), 32):
+            part, n = payloads[low : low + 32], len(used[low : low + 32])
+            columns = [pa.nulls(n, pa.int64())] * 4 + [pa.array(used[low : low + 32], pa.int32()), pa.nulls(n, pa.int32())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(part, pa.binary())], _NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, count = [], 0
@@ -435,8 +437,9 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, most: int = MOST) ->
     keyed = _keyed(docs).select("id", "mark", "text").where(F.octet_length("text") >= length)
     size = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, -(-size // BUCKET_BYTES))
+    tasks = max(8, buckets // TASK_BUCKETS)
     packed = stored(keyed.mapInArrow(_pack_anchors(length, buckets), _FOUND), "suffix-anchors")
-    dealt = packed.where("kind is null").select("bucket", "payload").repartition(buckets, "bucket")
+    dealt = packed.where("kind is null").select("bucket", "payload").repartition(tasks, "bucket")
     compared = stored(dealt.sortWithinPartitions("bucket").mapInArrow(_compare_anchors(most), _FOUND), "suffix-compared")
     wanted = compared.where(F.col("kind") != REPEAT).groupBy("id", "mark")
     wanted = wanted.agg(F.collect_list(F.struct("at", "seed", "kind")).alias("wanted"))
@@ -444,7 +447,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, most: int = MOST) ->
     # rows equal in id and text are one document
     around = around.dropDuplicates(["id", "mark", "at"])
     to_sort = around.where(F.col("kind") == SORT).withColumn("bucket", F.pmod("seed", F.lit(buckets)).cast("int"))
-    to_sort = to_sort.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    to_sort = to_sort.repartition(tasks, "bucket").sortWithinPartitions("bucket")
     sorted_ranges = to_sort.mapInArrow(_sort_buckets(length), "id long, mark long, low long, high long")
     copies = packed.where("kind is not null").unionByName(compared.where(F.col("kind") == REPEAT))
     copies = copies.select("id", "mark", (F.col("at") - (length - SEED)).alias("low"), (F.col("at") + length).alias("high"))
