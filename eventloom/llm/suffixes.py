@@ -177,8 +177,8 @@ def _firsts(rows: np.ndarray) -> np.ndarray:
 
 
 REPEAT, SORT, GROUP = 0, 1, 2
-_FOUND = "id long, mark long, at long, seed long, bucket int, kind int, payload binary"
-_NAMES = ["id", "mark", "at", "seed", "bucket", "kind", "payload"]
+_PACKS = "bucket int, kind int, payload binary"
+_FOUND = "id long, mark long, at long, seed long, kind int"
 
 
 def _found(rows: np.ndarray, kind: int | np.ndarray) -> pa.RecordBatch:
@@ -186,8 +186,7 @@ def _found(rows: np.ndarray, kind: int | np.ndarray) -> pa.RecordBatch:
     kinds = np.broadcast_to(np.asarray(kind, np.int32), n)
     columns = [pa.array(np.ascontiguousarray(rows[c])) for c in ("id", "mark", "at")]
     columns.append(pa.array(np.ascontiguousarray(rows["seed"]).view(np.int64)))
-    columns += [pa.nulls(n, pa.int32()), pa.array(kinds), pa.nulls(n, pa.binary())]
-    return pa.RecordBatch.from_arrays(columns, _NAMES)
+    return pa.RecordBatch.from_arrays([*columns, pa.array(kinds)], ["id", "mark", "at", "seed", "kind"])
 
 
 def _pack_anchors(length: int, buckets: int):
@@ -195,17 +194,17 @@ def _pack_anchors(length: int, buckets: int):
         rows = _in_order(rows)
         first = _firsts(rows)
         # a later copy inside these rows is a later copy among all
-        yield _found(rows[~first], REPEAT)
-        rows = rows[first]
-        bucket = (rows["seed"] % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        used = np.flatnonzero(np.diff(edges))
-        payloads = [_packed(rows[order[edges[b] : edges[b + 1]]]) for b in used]
-        for low in range(0, len(used), 32):
-            part, n = payloads[low : low + 32], len(used[low : low + 32])
-            columns = [pa.nulls(n, pa.int64())] * 4 + [pa.array(used[low : low + 32], pa.int32()), pa.nulls(n, pa.int32())]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(part, pa.binary())], _NAMES)
+        for kind, part in ((REPEAT, rows[~first]), (SORT, rows[first])):
+            bucket = (part["seed"] % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            used = np.flatnonzero(np.diff(edges))
+            for low in range(0, len(used), 32):
+                some = used[low : low + 32]
+                payloads = [_packed(part[order[edges[b] : edges[b + 1]]]) for b in some]
+                kinds = pa.array([kind] * len(some), pa.int32())
+                columns = [pa.array(some, pa.int32()), kinds, pa.array(payloads, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["bucket", "kind", "payload"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, count = [], 0
@@ -223,24 +222,30 @@ def _pack_anchors(length: int, buckets: int):
 
 
 def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes]]]:
-    """(bucket, payloads) of rows (bucket, payload) ordered by bucket."""
+    """(kind, payloads) of rows (bucket, kind, payload) ordered by bucket: repeats as they come, others by bucket."""
     current, payloads = None, []
     for batch in batches:
-        for bucket, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for bucket, kind, payload in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            if kind == REPEAT:
+                yield kind, [payload]
+                continue
             if bucket != current and payloads:
-                yield current, payloads
+                yield SORT, payloads
                 payloads = []
             current = bucket
             payloads.append(payload)
     if payloads:
-        yield current, payloads
+        yield SORT, payloads
 
 
 def _compare_anchors(most: int):
     """Later copies of equal surroundings, and the first of those whose seed has several."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, payloads in _by_bucket(batches):
+        for kind, payloads in _by_bucket(batches):
+            if kind == REPEAT:
+                yield _found(_unpacked(payloads), REPEAT)
+                continue
             rows = _in_order(_unpacked(payloads))
             first = _firsts(rows)
             yield _found(rows[~first], REPEAT)
@@ -372,6 +377,11 @@ def _sort_buckets(length: int):
         rows = np.frombuffer(b"".join(batch.column("around").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
         columns = {c: batch.column(c).to_numpy() for c in ("seed", "id", "mark", "at", "low", "high")}
         order = np.lexsort((columns["at"], columns["mark"], columns["id"]))
+        # equal documents have the same places
+        places = [columns[c][order] for c in ("id", "mark", "at")]
+        new = np.ones(len(order), bool)
+        new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in places])
+        order = order[new]
         rows, columns = rows[order], {c: v[order] for c, v in columns.items()}
         found = repeated_strings(rows, columns["seed"], columns["low"], columns["high"], length)
         edges = np.diff(np.pad(found, ((0, 0), (1, 1))).astype(np.int8), axis=1)
@@ -438,20 +448,23 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, most: int = MOST) ->
     size = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, -(-size // BUCKET_BYTES))
     tasks = max(8, buckets // TASK_BUCKETS)
-    packed = stored(keyed.mapInArrow(_pack_anchors(length, buckets), _FOUND), "suffix-anchors")
-    dealt = packed.where("kind is null").select("bucket", "payload").repartition(tasks, "bucket")
-    compared = stored(dealt.sortWithinPartitions("bucket").mapInArrow(_compare_anchors(most), _FOUND), "suffix-compared")
+    packed = keyed.mapInArrow(_pack_anchors(length, buckets), _PACKS).repartition(tasks, "bucket")
+    compared = stored(
+        packed.sortWithinPartitions("bucket").mapInArrow(_compare_anchors(most), _FOUND), "suffix-compared"
+    )
     wanted = compared.where(F.col("kind") != REPEAT).groupBy("id", "mark")
     wanted = wanted.agg(F.collect_list(F.struct("at", "seed", "kind")).alias("wanted"))
-    around = stored(_of_documents(keyed, wanted, "inner").mapInArrow(_extract(length), _AROUND), "suffix-around")
-    # rows equal in id and text are one document
-    around = around.dropDuplicates(["id", "mark", "at"])
+    around = _of_documents(keyed, wanted, "inner").mapInArrow(_extract(length), _AROUND)
+    to_group = not compared.where(F.col("kind") == GROUP).isEmpty()
+    if to_group:
+        around = stored(around, "suffix-around")
     to_sort = around.where(F.col("kind") == SORT).withColumn("bucket", F.pmod("seed", F.lit(buckets)).cast("int"))
     to_sort = to_sort.repartition(tasks, "bucket").sortWithinPartitions("bucket")
-    sorted_ranges = to_sort.mapInArrow(_sort_buckets(length), "id long, mark long, low long, high long")
-    copies = packed.where("kind is not null").unionByName(compared.where(F.col("kind") == REPEAT))
+    found = to_sort.mapInArrow(_sort_buckets(length), "id long, mark long, low long, high long")
+    copies = compared.where(F.col("kind") == REPEAT)
     copies = copies.select("id", "mark", (F.col("at") - (length - SEED)).alias("low"), (F.col("at") + length).alias("high"))
-    return copies.unionByName(sorted_ranges).unionByName(_grouped(around, length))
+    found = copies.unionByName(found)
+    return found.unionByName(_grouped(around, length)) if to_group else found
 
 
 def merged(low: np.ndarray, high: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
