@@ -40,40 +40,68 @@ def _sortable(data_type: T.DataType) -> bool:
     return not isinstance(data_type, (T.MapType, T.VariantType))
 
 
-def latest_by(
-    df: DataFrame,
+def value_partials(df: DataFrame, keys: Sequence[str], value: str, order: str, any_true: Sequence[str] = ()) -> DataFrame:
+    """One row per (keys, value): its last and first time, number of rows, and flags.
+
+    These rows are enough for ``merge_partials``, also when they are made of parts of the rows
+    at a time and stored.
+    """
+    return df.groupBy(*keys, value).agg(
+        F.max(order).alias("_last"),
+        F.min(order).alias("_first"),
+        F.count("*").alias("_rows"),
+        *[F.bool_or(c).alias(c) for c in any_true],
+    )
+
+
+def merge_partials(
+    partials: DataFrame,
     keys: Sequence[str],
     value: str,
-    order: str,
     *,
+    value_at: str | None = None,
     first_seen: str | None = None,
     last_seen: str | None = None,
     any_true: Sequence[str] = (),
     count: str | None = None,
 ) -> DataFrame:
-    """Latest non-NULL ``value`` per key, with optional range, flags and row count.
-
-    A text buffer would put ``max_by`` on sort-based aggregation of every input
-    row. Grouping by (keys, value) first keeps the full input on hash
-    aggregation with map-side combine; only one row per distinct value is left
-    for ``max_by``. Equal times are decided by the larger value.
-    """
-    per_value = df.groupBy(*keys, value).agg(
-        F.max(order).alias("_last"),
-        F.min(order).alias("_first"),
-        F.count("*").alias("_rows"),
-        *[F.bool_or(c).alias(c) for c in any_true],
-    )
+    """One row per key from its ``value_partials``; equal times are decided by the larger value."""
     usable = F.col(value).isNotNull() & F.col("_last").isNotNull()
     outputs = [
         # max_by passes over rows whose ordering is NULL
         F.max_by(value, F.when(usable, F.struct("_last", value))).alias(value)
     ]
     outputs += [F.bool_or(c).alias(c) for c in any_true]
+    if value_at:
+        outputs.append(F.max(F.when(usable, F.col("_last"))).alias(value_at))
     if first_seen:
         outputs.append(F.min("_first").alias(first_seen))
     if last_seen:
         outputs.append(F.max("_last").alias(last_seen))
     if count:
         outputs.append(F.sum("_rows").alias(count))
-    return per_value.groupBy(*keys).agg(*outputs)
+    return partials.groupBy(*keys).agg(*outputs)
+
+
+def latest_by(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    order: str,
+    *,
+    first_seen: str | None = None,
+    last_seen: str | None = None,
+    any_true: Sequence[str] = (),
+    count: str | None = None,
+) -> DataFrame:
+    """Latest non-NULL ``value`` per key, with optional range, flags and row count.
+
+    A text buffer would put ``max_by`` on sort-based aggregation of every input
+    row. Grouping by (keys, value) first keeps the full input on hash
+    aggregation with map-side combine; only one row per distinct value is left
+    for ``max_by``. Equal times are decided by the larger value.
+    """
+    per_value = value_partials(df, keys, value, order, any_true)
+    return merge_partials(
+        per_value, keys, value, first_seen=first_seen, last_seen=last_seen, any_true=any_true, count=count
+    )

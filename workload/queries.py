@@ -573,7 +573,8 @@ def _refreshed_warehouse(spark: SparkSession, sf_dir: str) -> tuple[str, DataFra
     ]
     for landing in landings:
         sinks.write_bronze(landing.hint("rebalance", F.col("dt"), F.col("hour")), bronze)
-        warehouse.refresh_events(spark, bronze, root, BEGINNING)
+        # an archive of seven years and few rows: years are its periods
+        warehouse.refresh_events(spark, bronze, root, BEGINNING, "year", 8)
         warehouse.refresh_marts(spark, root, seed)
     return root, seed
 
