@@ -1,21 +1,27 @@
 """License scan: places of phrases, and text blocks that contain a license template.
 
-A block is a line, or a run of words of the text that does not depend on line ends,
-as a set of words. Runs are twice as long as the longest template and start at every
-multiple of its length, so a wording that wraps over lines is whole in one of them.
-A template is found in a block that holds at least ``CONTAINMENT`` of the template's
-words; texts that do not have so many of any template are not cut. The search is a set-similarity
-join on words in one order, rarest in the corpus first (ties by the word):
+A text states a template if a run of its words has at least ``CONTAINMENT`` of the template's
+words in their order: from each word of a run the next of the template is looked for among the
+following ones, passed over if it is not there, and the run may be longer than the template by the
+same share. So words that are merely near one another state nothing, and a wording that is
+wrapped, cut short or has words put in is found.
+
+Runs lie in blocks of words that do not depend on line ends: twice as long as the longest run,
+starting at every multiple of its length, so any run is whole in one of them. Texts that do not
+have enough words of any template are not cut. Blocks that may state a template are found by a
+set-similarity join on words in one order, rarest in the corpus first (ties by the word):
 
 * prefix filter: a block with enough words of a template has one of the template's
   ``size - needed + 1`` rarest, so only these are in the index;
 * length filter: the block has at least ``needed`` words of the templates;
 * positional filter: from the first common word on, both lists still have enough;
-* survivors are counted exactly.
+* survivors are counted exactly, and their runs are read in order.
 
-Blocks keep only words that occur in templates, as no other word can count.
+The join keeps only words that occur in templates, as no other word can count.
 Frequencies are counted over the blocks of all rows. Templates are a bounded
 list, so their index is an expression and nothing but matches is shuffled.
+``TEMPLATES`` are the sentences by which texts state a license; whole license texts can be
+given in their place, see ``templates_of``.
 
 Defined cases: null text is empty and has no words; null ids are kept; repeated
 rows are scanned each; other columns of the table are not looked at; a template
@@ -25,7 +31,9 @@ without words, or an empty list of templates, finds nothing.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
 
@@ -77,38 +85,94 @@ def _literal(values: list) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
-def template_matches(blocks: DataFrame, templates: list[tuple[str, str]], least: float = CONTAINMENT) -> DataFrame:
-    """(row, label, containment) of each block of ``blocks`` (row, words) and template it contains.
+@dataclass(frozen=True)
+class Template:
+    """A wording: its words in order, how many of them are needed, and how far a run may go."""
 
-    ``words`` are distinct, and only those that occur in templates.
-    """
-    if len(templates) > MAX_TEMPLATES:
+    words: tuple[str, ...]
+    label: str
+    needed: int
+    span: int
+
+    @property
+    def distinct(self) -> list[str]:
+        return sorted(set(self.words))
+
+    @property
+    def needed_distinct(self) -> int:
+        """Different words that a run with enough words has at least."""
+        return max(len(self.distinct) - (len(self.words) - self.needed), 1)
+
+
+def templates_of(wordings: Sequence[tuple[str, str]], least: float = CONTAINMENT) -> list[Template]:
+    """Templates from (wording, label), of texts of any length; those without words are left out."""
+    out = []
+    for text, label in wordings:
+        words = tuple(re.findall(WORD, text.translate(str.maketrans(UPPER, LOWER))))
+        if words:
+            out.append(Template(words, label, math.ceil(least * len(words) - 1e-9), int(len(words) / least + 1e-9)))
+    if len(out) > MAX_TEMPLATES:
         raise ValueError(f"more than {MAX_TEMPLATES} templates")
-    sets = [(sorted(set(text.split())), label) for text, label in templates if text.split()]
-    counts = blocks.select(F.explode("words").alias("word")).groupBy("word").count().collect()
-    often = {r.word: r["count"] for r in counts}  # at most one row per word of the templates
-    vocabulary = sorted({w for words, _ in sets for w in words}, key=lambda w: (often.get(w, 0), w))
-    if not vocabulary:
+    return out
+
+
+def _in_order(run: Column, words: Column, span: Column) -> Column:
+    """The most words of a template that a run inside a block has in order."""
+    slack = span - F.size(words)
+
+    def from_word(start: Column) -> Column:
+        def step(state: Column, word: Column) -> Column:
+            ahead = F.greatest(F.least(slack + 1, start + span - state["at"]), F.lit(0))
+            found = F.array_position(F.slice(run, state["at"] + 1, ahead), word).cast("int")
+            return F.when(
+                found > 0, F.struct((state["at"] + found).alias("at"), (state["n"] + 1).alias("n"))
+            ).otherwise(state)
+
+        return F.aggregate(words, F.struct(start.alias("at"), F.lit(0).alias("n")), step)["n"]
+
+    starts = F.filter(F.sequence(F.lit(0), F.size(run) - 1), lambda i: F.array_contains(words, F.get(run, i)))
+    return F.coalesce(F.array_max(F.transform(starts, from_word)), F.lit(0))
+
+
+def template_matches(blocks: DataFrame, templates: Sequence[Template]) -> DataFrame:
+    """(row, label, containment) of each block of ``blocks`` (row, words) and template that it states.
+
+    ``words`` are a block's words in order.
+    """
+    vocabulary_of = sorted({w for t in templates for w in t.words})
+    if not vocabulary_of:
         return blocks.select("row", F.lit("").alias("label"), F.lit(0.0).alias("containment")).where("false")
+    blocks = blocks.select("row", "words", F.array_intersect("words", _literal(vocabulary_of)).alias("known"))
+    counts = blocks.select(F.explode("known").alias("word")).groupBy("word").count().collect()
+    often = {r.word: r["count"] for r in counts}  # at most one row per word of the templates
+    vocabulary = sorted(vocabulary_of, key=lambda w: (often.get(w, 0), w))
     place = {w: i for i, w in enumerate(vocabulary)}
-    ranked = [(sorted(place[w] for w in words), label) for words, label in sets]
-    needed = [math.ceil(least * len(places) - 1e-9) for places, _ in ranked]
+    ranked = [sorted(place[w] for w in t.distinct) for t in templates]
+    needed = [t.needed_distinct for t in templates]
     index: dict[int, list[int]] = {}
-    for t, (places, _) in enumerate(ranked):
+    for t, places in enumerate(ranked):
         for p in places[: len(places) - needed[t] + 1]:
             index.setdefault(p, []).append(t)
     to_place = F.create_map(*[F.lit(x) for w in vocabulary for x in (w, place[w])])
     to_templates = F.create_map(*[c for p, ts in index.items() for c in (F.lit(p), _literal(ts))])
     rows = blocks.select(
-        "row", F.array_sort(F.transform("words", lambda w: F.element_at(to_place, w))).alias("have")
+        "row", "words", F.array_sort(F.transform("known", lambda w: F.element_at(to_place, w))).alias("have")
     ).where(F.size("have") >= min(needed))
     hits = F.array_distinct(F.flatten(F.array_compact(F.transform("have", lambda p: F.try_element_at(to_templates, p)))))
-    found = rows.select("row", "have", F.explode(hits).alias("t")).select(
+
+    def of_template(values: list) -> Column:
+        return F.get(_literal(values), F.col("t"))
+
+    found = rows.select("row", "words", "have", F.explode(hits).alias("t")).select(
         "row",
+        "words",
         "have",
-        F.get(_literal([list(p) for p, _ in ranked]), F.col("t")).alias("want"),
-        F.get(_literal(needed), F.col("t")).alias("needed"),
-        F.get(_literal([label for _, label in ranked]), F.col("t")).alias("label"),
+        of_template([list(p) for p in ranked]).alias("want"),
+        of_template(needed).alias("needed"),
+        of_template([list(t.words) for t in templates]).alias("wording"),
+        of_template([t.needed for t in templates]).alias("needed_words"),
+        of_template([t.span for t in templates]).alias("span"),
+        of_template([t.label for t in templates]).alias("label"),
     )
     common = F.array_intersect("have", "want")  # in the order of ``have``: the first is the rarest
     first = F.get(common, F.lit(0))
@@ -117,37 +181,36 @@ def template_matches(blocks: DataFrame, templates: list[tuple[str, str]], least:
         found.where(F.size("have") >= F.col("needed"))
         .where(F.least(*left) >= F.col("needed"))
         .where(F.size(common) >= F.col("needed"))
-        .select("row", "label", (F.size(common) / F.size("want")).alias("containment"))
+        .withColumn("n", _in_order(F.col("words"), F.col("wording"), F.col("span")))
+        .where("n >= needed_words")
+        .select("row", "label", (F.col("n") / F.size("wording")).alias("containment"))
     )
 
 
-def _may_hold(known: Column, templates: Sequence[tuple[str, str]], least: float) -> Column:
+def _may_hold(known: Column, templates: Sequence[Template]) -> Column:
     """Whether some template has enough of its words among ``known``."""
-    sets = [sorted(set(text.split())) for text, _ in templates if text.split()]
-    enough = [
-        F.size(F.array_intersect(known, _literal(words))) >= math.ceil(least * len(words) - 1e-9) for words in sets
-    ]
+    enough = [F.size(F.array_intersect(known, _literal(t.distinct))) >= t.needed_distinct for t in templates]
     return reduce(or_, enough, F.lit(False))
 
 
-def _blocks(text: Column, words: Column, templates: Sequence[tuple[str, str]]) -> Column:
-    """The blocks of a text, lines and runs, less words that no template has."""
-    vocabulary = _literal(sorted({w for wording, _ in templates for w in wording.split()}))
-    longest = max((len(wording.split()) for wording, _ in templates), default=1)
-    starts = F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(1)), F.lit(max(longest, 1)))
-    runs = F.transform(starts, lambda at: F.array_intersect(F.slice(words, at, 2 * longest), vocabulary))
-    lines = F.transform(F.split(text, "\n"), lambda line: F.array_intersect(words_of(line), vocabulary))
-    return F.filter(F.concat(lines, runs), lambda block: F.size(block) > 0)
+def _blocks(words: Column, templates: Sequence[Template]) -> Column:
+    """The blocks of a text that have enough words of some template."""
+    longest = max((t.span for t in templates), default=1)
+    vocabulary = _literal(sorted({w for t in templates for w in t.words}))
+    starts = F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(1)), F.lit(longest))
+    runs = F.transform(starts, lambda at: F.slice(words, at, 2 * longest))
+    return F.filter(runs, lambda run: _may_hold(F.array_intersect(run, vocabulary), templates))
 
 
 def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, least: float = CONTAINMENT) -> DataFrame:
     """One row per document (doc_id, text) with phrase counts, labels and score; see the module's text."""
-    vocabulary = sorted({w for text, _ in templates for w in text.split()})
+    known_templates = templates_of(templates, least)
+    vocabulary = sorted({w for t in known_templates for w in t.words})
     text = F.coalesce(F.col("text"), F.lit(""))
     none, no_blocks = F.array().cast("array<string>"), F.array().cast("array<array<string>>")
     every = F.col("every")
     words = F.when(text.rlike(f"(?i){KEYWORD}"), every).otherwise(none)
-    blocks = F.when(_may_hold(F.col("known"), templates, least), _blocks(text, every, templates)).otherwise(no_blocks)
+    blocks = F.when(_may_hold(F.col("known"), known_templates), _blocks(every, known_templates)).otherwise(no_blocks)
     per_phrase = [phrase_starts(F.col("words"), phrase) for phrase in PHRASES]
     kept = stored(
         docs.select("doc_id", "text", words_of(text).alias("every"))
@@ -168,7 +231,7 @@ def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, leas
         "licenses",
     )
     blocks = kept.select("row", F.explode("blocks").alias("words"))
-    matches = template_matches(blocks, list(templates), least).groupBy("row")
+    matches = template_matches(blocks, known_templates).groupBy("row")
     matches = matches.agg(F.collect_set("label").alias("more"), F.max("containment").alias("score"))
     labels = list(PHRASES.values())
     starts = F.concat(*labels)

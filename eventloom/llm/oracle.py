@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventloom.llm.licenses import CONTAINMENT, PHRASES, TEMPLATES, WORD
+from eventloom.llm.licenses import PHRASES, TEMPLATES, WORD, templates_of
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -82,21 +82,29 @@ _HITS = " || ".join(
     + f"), lambda i: {{'at': i, 'label': '{label}'}})"
     for phrase, label in PHRASES.items()
 )
-_TEMPLATES = ", ".join(f"({sorted(set(text.split()))}, '{label}')" for text, label in TEMPLATES)
+_TEMPLATES = ", ".join(f"({list(t.words)}, {t.needed}, {t.span}, '{t.label}')" for t in templates_of(TEMPLATES))
 
-# Every block against every template.
+# Every start of a run against every template; a run's state is its place times 1000 and its count of words.
 ORACLE_SQL["op5_license_scan"] = f"""
 with words as (
     select doc_id, coalesce(text, '') as t, {_WORDS.format("coalesce(text, '')")} as w from documents
 ), base as (
     select doc_id, len(w)::bigint as n_words, {_HITS} as hits from words
-), blocks as (
-    select doc_id, {_WORDS.format("b")} as w from (select doc_id, unnest(string_split(t, chr(10))) as b from words)
+), starts as (
+    select doc_id, w, wording, needed, span, label, unnest(list_filter(range(0, len(w)), lambda i:
+        list_contains(wording, w[i + 1]) and
+        len(list_filter(w[i + 1 : i + span], lambda x: list_contains(wording, x))) >= needed)) as i
+    from words, (values {_TEMPLATES}) templates(wording, needed, span, label)
 ), found as (
-    select doc_id, label, len(list_intersect(list_distinct(w), words)) / len(words) as share
-    from blocks, (values {_TEMPLATES}) templates(words, label)
+    select doc_id, label, needed, len(wording) as size, list_reduce([i * 1000] || range(1, len(wording) + 1),
+        lambda s, j: case when list_contains(
+            w[s // 1000 + 1 : least(s // 1000 + 1 + span - len(wording), i + span)], wording[j])
+        then (s // 1000 + list_position(
+            w[s // 1000 + 1 : least(s // 1000 + 1 + span - len(wording), i + span)], wording[j])) * 1000 + s % 1000 + 1
+        else s end) % 1000 as n
+    from starts
 ), more as (
-    select doc_id, list(label) as labels, max(share) as score from found where share >= {CONTAINMENT} group by doc_id
+    select doc_id, list(label) as labels, max(n / size) as score from found where n >= needed group by doc_id
 )
 select doc_id, n_words, len(hits)::bigint as n_base,
     list_min(list_transform(hits, lambda h: h.at))::bigint as first_word,
@@ -203,7 +211,9 @@ with recursive {_CRC_TABLE}, kinds as (
     from kinds where kind <> 0
 ), numbered as (
     select conv_id, turn, role, text, row_number() over (partition by conv_id order by turn nulls first, role, text) as i,
-        regexp_extract(text, '(?s)([^ 	-])[ 	-]*$', 1) as last,
+        regexp_extract(text, '(?s)([^ 	-
+])[ 	-
+]*$', 1) as last,
         case when role[1:1] in ('s', 'u', 'a') then role[1:1] else '-' end as class
     from damaged
 ), marked as (

@@ -180,7 +180,7 @@ def test_license_edges(spark):
             (2, 0, 0, None, None, "", "", 0.0),
             (3, 7, 3, 1, 5, "mit", "mit", 0.0),
             (4, 8, 1, 3, 3, "apache", "apache", 1.0),
-            (5, 7, 1, 2, 2, "apache", "apache", 0.0),
+            (5, 7, 1, 2, 2, "apache", "apache", 0.875),
             (6, 50_004, 1, 50_001, 50_001, "gpl", "gpl", 0.0),
             (None, 5, 0, None, None, "", "reserved", 1.0),
             (3, 2, 1, 0, 0, "mit", "mit", 0.0),
