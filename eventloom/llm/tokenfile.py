@@ -16,11 +16,13 @@ written and committed by Spark, one file per part.
 
 Defined cases: null and empty texts have no ids but the end id; a null doc_id
 comes first; rows of one doc_id are in the order of their texts; an empty table
-gives files without rows. A text of any length is one entry of its segment.
+gives files without rows. A text of any length is one entry of its segment. Other columns
+are not looked at.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -98,11 +100,17 @@ class Segment:
         return out
 
 
+# Fixed value: the normal form under which texts may be encoded word by word.
+WORD_RULES = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+
+
 class Encoder:
-    """Ids by the tokenizers library, a word at a time, with the ids of a bounded number of words kept.
+    """Ids by the tokenizers library, special tokens in texts included.
 
-    Blanks and line feeds always part words in this tokenizer's rules, so the ids
-    of a text are those of its words.
+    If the tokenizer lower-cases and parts words at blanks (``by_words``, looked up in its
+    file), the ids of a text are those of its words, and the ids of a bounded number of words are
+    kept. Special tokens are found in the text as it is, and what lies between them is encoded
+    by itself, as the library does. Texts of other tokenizers are encoded whole.
     """
 
     MOST_WORDS, MOST_CHARS = 1_500_000, 24_000_000
@@ -114,10 +122,22 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        with open(path, encoding="utf-8") as file:
+            rules = json.load(file)
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        (self.mark,) = self._ids(self.MARK)
-        self.forget()
+        steps = (rules.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        removes_blanks = steps[0].get("behavior") == "Removed" and r"[^\s" in str(steps[0].get("pattern"))
+        self.by_words = (rules.get("normalizer") or {}).get("normalizers") == WORD_RULES and removes_blanks
+        special = {t["content"]: t["id"] for t in rules.get("added_tokens", ()) if t["special"]}
+        # a token found before normalization, wherever it stands
+        plain = all(not (t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"]) for t in rules.get("added_tokens", ()))
+        self.by_words = self.by_words and plain and len(special) == len(rules.get("added_tokens", ()))
+        if self.by_words:
+            self.tokenizer.encode_special_tokens = True
+            self.special = special
+            self.find_special = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")")
+            (self.mark,) = self._ids(self.MARK)
+            self.forget()
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
@@ -152,7 +172,21 @@ class Encoder:
         self.chars += sum(map(len, words))
 
     def encode(self, text: str) -> np.ndarray:
-        """Ids of ``text``, which is cut finer first where that changes no id, so that words recur.
+        """Ids of ``text``."""
+        if not self.by_words:
+            return np.array(self._ids(text), np.uint32)
+        if not self.special or not self.find_special.search(text):
+            return self._by_words(text)
+        pieces = self.find_special.split(text)
+        found = [
+            np.array([self.special[piece]], np.uint32) if k % 2 else self._by_words(piece)
+            for k, piece in enumerate(pieces)
+            if piece
+        ]
+        return np.concatenate(found) if found else np.empty(0, np.uint32)
+
+    def _by_words(self, text: str) -> np.ndarray:
+        """Ids of a text, which is cut finer first where that changes no id, so that words recur.
 
         The tokenizer lower-cases; doing it for A-Z before tells only where such a
         letter is joined with a mark behind it. It parts a letter from a sign too.
@@ -215,7 +249,9 @@ def _segments(tokenizer: str, end_id: int):
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> None:
     """Write the ids of ``docs`` (doc_id, text), in the order of doc_id, below ``path``."""
-    rows = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # many rows of one id, or without one, are parted by how their texts begin
+    ranges = ["doc_id", F.substring("text", 1, 64)]
+    rows = docs.select("doc_id", "text").repartitionByRange(*ranges).sortWithinPartitions("doc_id", "text")
     rows.mapInArrow(_segments(tokenizer, end_id), SEGMENTS).write.parquet(path)
 
 

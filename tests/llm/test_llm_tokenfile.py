@@ -7,6 +7,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from eventloom.llm import tokenfile
 from eventloom.llm.queries import QUERIES
@@ -16,8 +17,12 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 SF_DIR = "/root/testdata/sf0.001"
 
 
+FRESH = Tokenizer.from_file(PATH)
+
+
 def whole(text):
-    return tokenfile.encoder(PATH).tokenizer.encode(text, add_special_tokens=False).ids
+    """By a tokenizer that nothing has been set on."""
+    return FRESH.encode(text, add_special_tokens=False).ids
 
 
 @settings(max_examples=100, deadline=None)
@@ -35,6 +40,20 @@ def test_words_encode_as_the_whole_text(text):
     assert tokenfile.encoder(PATH).encode(text).tolist() == whole(text)
 
 
+@pytest.mark.parametrize(
+    "text", ["a <|endoftext|> b", "a<|endoftext|>b", "<|ENDOFTEXT|> É<|startoftext|>", "<|endoftext|>" * 3, "<|endof text|>", "e<|endoftext|>\u0301"]
+)
+def test_special_tokens(text):
+    assert tokenfile.encoder(PATH).encode(text).tolist() == whole(text)
+
+
+def test_other_tokenizers_encode_whole_texts():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    fresh = Tokenizer.from_file(path)
+    for text in ("Hello World.\n\n  x", "", "It's <|endoftext|> HERE, é"):
+        assert tokenfile.encoder(path).encode(text).tolist() == fresh.encode(text, add_special_tokens=False).ids
+
+
 def expected(rows):
     out, start = [], 0
     for doc, text in sorted(rows, key=lambda r: (r[0] is not None, r[0], r[1] is not None, r[1])):
@@ -52,7 +71,7 @@ def result(df):
 def test_files(spark, monkeypatch, segment):
     monkeypatch.setattr(tokenfile, "SEGMENT", segment)
     rows = [(i * 3, f"text {i} of many words") for i in range(200)]
-    rows += [(None, "x"), (1, None), (1, ""), (4, "b"), (4, "a"), (4, "a"), (700, "long word " * 30_000), (5, "y" * 5000)]
+    rows += [(None, "x"), (None, "<|endoftext|>"), (1, None), (1, ""), (4, "b"), (4, "a"), (4, "a"), (700, "long word " * 30_000), (5, "y" * 5000)]
     path = scratch_path(spark, "tokens")
     tokenfile.write_token_files(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), path, PATH)
     assert result(tokenfile.read_token_files(spark, path)) == expected(rows)
