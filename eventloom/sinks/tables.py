@@ -114,6 +114,18 @@ def _status(spark: SparkSession, path: str):
     return files.globStatus(hadoop_path) or None
 
 
+def cut_file(spark: SparkSession, path: str, size: int) -> None:
+    """Keep the first ``size`` bytes of a small file, as after a transfer that broke off."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    source = files.open(place)
+    content = bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(source))
+    source.close()
+    target = files.create(place, True)
+    target.write(bytearray(content[:size]))
+    target.close()
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import wraps
 
@@ -21,6 +22,7 @@ from eventloom.plans import lifecycle as lc
 from eventloom.plans import landing, marts, staging, warehouse
 from eventloom.session import configure, scratch_path
 from eventloom.sinks import tables as sinks
+from eventloom.sinks.parts import read_parts, upsert_parts
 from eventloom.sources import hours
 from eventloom.sources.bronze import landed_hours, read_bot_seed, read_bronze, read_timeline_bronze
 from eventloom.sources.raw import adapt_timeline, read_raw_events, to_bronze
@@ -358,6 +360,45 @@ def land_hours(spark, sf_dir):
     return counts.join(landed_hours(spark, root), hours.KEY, "left_semi")
 
 
+@query
+def land_with_bad_files(spark, sf_dir):
+    """A whole landing run: some hours have no file and some a truncated one, which the ledger names.
+
+    Files are cut in the driver, small as they are, since Spark writes none that are not whole.
+    """
+    raw, root, ledger = (scratch_path(spark, name) for name in ("raw", "bronze", "ledger"))
+    _write_hour_files(spark, sf_dir, raw)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(raw).select("path", "length")
+    hour = F.regexp_extract("path", r"-(\d{1,2})\.json", 1)
+    by_hour = files.withColumn("hour", hour).where("hour IN ('7', '13')").collect()
+    for file in by_hour:
+        sinks.cut_file(spark, file.path, 0 if file.hour == "13" else file.length // 2)
+    # an empty file stands for one that was never published
+    paths = [r.path for r in files.where("length > 0").select("path").collect() if not re.search(r"-13\.json", r.path)]
+    events = table(spark, sf_dir, "events")
+    first, last = events.agg(F.min("ts").cast("date"), F.date_add(F.max("ts").cast("date"), 1)).first()
+    recorded = F.lit("2024-01-01").cast("timestamp")
+    summary = landing.land_events(spark, paths, root, ledger, str(first), str(last), recorded, on_corrupt="quarantine")
+    landed = read_bronze(spark, root).groupBy("dt", "hour").agg(F.count("*").alias("row_count"))
+    rows = landed.select("dt", "hour", F.lit("landed").alias("status"), "row_count").unionByName(
+        read_parts(spark, ledger).select("dt", "hour", F.col("reason").alias("status"), F.lit(0).cast("long").alias("row_count"))
+    )
+    totals = [summary.select(c).scalar().alias(f"hours_{c}") for c in ("landed", "missing")]
+    return rows.select("*", *totals)
+
+
+@query
+def upsert_by_bucket(spark, sf_dir):
+    """As ``upsert_by_key``, into a table in parts, of which those with such keys are written."""
+    root = scratch_path(spark, "upserted")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus", "o_totalprice")
+    changed = orders.where("o_orderstatus = 'P'").withColumn("o_orderstatus", F.lit("C"))
+    added = orders.where("o_orderstatus = 'F'").withColumn("o_orderkey", -1 - F.col("o_orderkey"))
+    for rows in (orders, changed.unionByName(added)):
+        upsert_parts(rows, root, ["o_orderpriority", "o_orderkey"], buckets=16)
+    return read_parts(spark, root)
+
+
 @query
 def mart_by_day(spark, sf_dir):
     """Daily activity written by day, then two weeks written again, then read back."""
