@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def hold(name: str, forget: Callable[[], None]) -> None:
+    """Make room for what ``name`` keeps between tasks in this worker: all others forget theirs.
+
+    Workers are used again for later stages, where what earlier ones kept would add up.
+    """
+    others = [other for other in _HELD if other != name]
+    for other in others:
+        _HELD.pop(other)()
+    _HELD[name] = forget
+    if others:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+
 def steps(column: pa.Array, most: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of a string column with at most ``most`` bytes each (or one row)."""
     lengths = column.fill_null("").cast(pa.large_string())

@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventloom.llm.common import hold
+
 UNKNOWN = "und"
 LONGEST = 5
 MAX_LANGUAGES = 1000
@@ -178,6 +180,7 @@ _SCORERS: dict[int, Scorer] = {}
 
 def _scorer(shared) -> Scorer:
     """The worker's scorer of a broadcast model; that of an earlier model goes."""
+    hold("language scorer", _SCORERS.clear)
     key = id(shared.value)
     if key not in _SCORERS:
         _SCORERS.clear()

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import mix, steps
+from eventloom.llm.common import hold, mix, steps
 
 LONGEST_IN_ARRAYS = 40
 MOST_CHUNKS, MOST_CHARS = 400_000, 8_000_000
@@ -375,6 +375,7 @@ def _pieces(path: str) -> Pieces:
 
 
 def encoder(path: str, dropout: float, seed: int) -> Encoder:
+    hold("pieces", _ENCODERS.clear)
     if (path, dropout, seed) not in _ENCODERS:
         _ENCODERS.clear()
         _ENCODERS[path, dropout, seed] = Encoder(path, dropout, seed)

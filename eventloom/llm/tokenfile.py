@@ -34,6 +34,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from eventloom.llm.common import hold
+
 MAGIC = b"DAC1"
 RANK_BITS = 512
 SEGMENT = 1 << 20
@@ -213,6 +215,7 @@ _ENCODERS: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
+    hold("token encoder", _ENCODERS.clear)
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
