@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Iterator
 
@@ -34,13 +35,15 @@ def hold(name: str, forget: Callable[[], None]) -> None:
 
     Workers are used again for later stages, where what earlier ones kept would add up.
     """
-    others = [other for other in _HELD if other != name]
-    for other in others:
+    if name in _HELD:
+        return
+    for other in list(_HELD):
         _HELD.pop(other)()
     _HELD[name] = forget
-    if others:
-        gc.collect()
-        pa.default_memory_pool().release_unused()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)  # pages that earlier stages' arrays left free go back to the system
 
 
 def steps(column: pa.Array, most: int = STEP_BYTES) -> Iterator[tuple[int, int]]:
@@ -75,14 +78,17 @@ _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the word base and of its inverse modulo 2**64."""
-    if len(_POWERS[0]) < n:
-        inverse = pow(WORD_BASE, -1, 1 << 64)
-        for k, base in enumerate((WORD_BASE, inverse)):
-            row = np.full(n, np.uint64(base))
-            row[0] = 1
-            _POWERS[k] = np.multiply.accumulate(row)
-    return _POWERS[0], _POWERS[1]
+    """Powers of the word base and of its inverse modulo 2**64; only those for usual steps are kept."""
+    if len(_POWERS[0]) >= n:
+        return _POWERS[0], _POWERS[1]
+    rows = []
+    for base in (WORD_BASE, pow(WORD_BASE, -1, 1 << 64)):
+        row = np.full(n, np.uint64(base))
+        row[0] = 1
+        rows.append(np.multiply.accumulate(row))
+    if n <= 2 * STEP_BYTES:
+        _POWERS[:] = rows
+    return rows[0], rows[1]
 
 
 def word_hashes(text: bytes) -> np.ndarray:

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from eventloom.llm.common import hold, mix, steps
 
 LONGEST_IN_ARRAYS = 40
-MOST_CHUNKS, MOST_CHARS = 400_000, 8_000_000
+MOST_CHUNKS, MOST_CHARS = 150_000, 4_000_000
 SPACE = "▁"
 
 
@@ -94,7 +94,8 @@ class Pieces:
                     merges[left << 32 | right] = ids[piece]
         self.merges = merges
         self.pairs = np.array(sorted(merges), np.int64)
-        self.merged = np.array([merges[p] for p in self.pairs], np.int32)
+        self.pair_ranks = ranks[[merges[p] for p in self.pairs.tolist()]]
+        self.by_rank = np.array(order, np.int32)
         blank = SPACE.encode()
         self.texts = [b""] * size
         for i in normal:
@@ -179,39 +180,40 @@ def in_arrays(
     the end of each; so has the result.
     """
     count, width = symbols.shape[0], symbols.shape[1] - 1
-    places = np.tile(np.arange(width + 1), (count, 1))
+    symbols = symbols.astype(np.int32)
+    columns = np.arange(width + 1, dtype=np.int32)
+    places = np.tile(columns, (count, 1))
 
-    def look_up(rows: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Merged piece and rank of the pair at a column of each row."""
-        a, b = symbols[rows, at], symbols[rows, at + 1]
-        pairs = a << 32 | b
+    def look_up(a: np.ndarray, b: np.ndarray, place: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of neighbours."""
+        pairs = a.astype(np.int64) << 32 | b
         found = np.minimum(np.searchsorted(pieces.pairs, pairs), len(pieces.pairs) - 1)
         good = (a >= 0) & (b >= 0) & (pieces.pairs[found] == pairs)
-        good[good] = ~skips(a[good], b[good], places[rows, at][good], keys[rows][good], dropout)
-        merged = np.where(good, pieces.merged[found], -1)
-        return merged, np.where(good, pieces.ranks[merged], NONE)
-
-    rows = np.repeat(np.arange(count), width)
-    merged, ranks = (x.reshape(count, width) for x in look_up(rows, np.tile(np.arange(width), count)))
-    merged = np.pad(merged, ((0, 0), (0, 1)), constant_values=-1)
-    ranks = np.pad(ranks, ((0, 0), (0, 1)), constant_values=NONE)
-    out, done, columns = symbols.copy(), np.arange(count), np.arange(width + 1)
+        if dropout > 0:
+            good[good] = ~skips(a[good], b[good], place[good], keys[good], dropout)
+        return np.where(good, pieces.pair_ranks[found], NONE)
+
+    first = look_up(symbols[:, :-1].ravel(), symbols[:, 1:].ravel(), places[:, :-1].ravel(), np.repeat(keys, width))
+    ranks = np.pad(first.reshape(count, width), ((0, 0), (0, 1)), constant_values=NONE)
+    out, done = symbols.copy(), np.arange(count)
     while len(done):
         best = ranks.argmin(axis=1)
-        busy = ranks[np.arange(len(done)), best] != NONE
-        out[done[~busy]] = symbols[~busy]
-        done, best, keys = done[busy], best[busy], keys[busy]
-        symbols, places, merged, ranks = symbols[busy], places[busy], merged[busy], ranks[busy]
-        rows = np.arange(len(done))
+        least = ranks[np.arange(len(done)), best]
+        busy = least != NONE
+        if not busy.all():
+            out[done[~busy]] = symbols[~busy]
+            done, best, least, keys = done[busy], best[busy], least[busy], keys[busy]
+            symbols, places, ranks = symbols[busy], places[busy], ranks[busy]
+        starts = np.arange(len(done)) * (width + 1)
+        at = starts + best
         if taken is not None and len(done):
-            taken.append((done, symbols[rows, best], symbols[rows, best + 1], places[rows, best]))
-        symbols[rows, best] = merged[rows, best]
-        take = np.minimum(columns + (columns > best[:, None]), width)  # all but the second of the pair
-        symbols, places, merged, ranks = (np.take_along_axis(x, take, 1) for x in (symbols, places, merged, ranks))
-        for at in (best, best - 1):
-            ok = (at >= 0) & (at < width)
-            m, r = look_up(rows[ok], at[ok])
-            merged[rows[ok], at[ok]], ranks[rows[ok], at[ok]] = m, r
+            taken.append((done, *(x.take(y) for x, y in ((symbols, at), (symbols, at + 1), (places, at)))))
+        symbols.reshape(-1)[at] = pieces.by_rank[least]
+        take = np.minimum(columns + (columns > best[:, None]), width) + starts[:, None]  # all but the second of the pair
+        symbols, places, ranks = (x.take(take) for x in (symbols, places, ranks))
+        for at, some in ((at, best < width), (at - 1, best > 0)):
+            at = at[some]
+            ranks.reshape(-1)[at] = look_up(symbols.take(at), symbols.take(at + 1), places.take(at), keys[some])
     return out
 
 
@@ -382,7 +384,7 @@ def encoder(path: str, dropout: float, seed: int) -> Encoder:
     return _ENCODERS[path, dropout, seed]
 
 
-_STEP = 1 << 20  # characters of text encoded together
+_STEP = 1 << 19  # bytes of text encoded together
 
 
 def _encoded(work: Encoder, texts: pa.Array, keys: pa.Array) -> Iterator[tuple[list, list]]:
