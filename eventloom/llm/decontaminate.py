@@ -1,7 +1,7 @@
 """Benchmark decontamination: BM25 over test items with block-max WAND, then exact overlap.
 
 Test items are indexed by word: postings in the order of the item's number, in
-blocks of ``BLOCK`` items with the largest impact of each block. Impacts are BM25
+blocks of ``BLOCK`` items with the largest impact of each block that has any. Impacts are BM25
 weights divided by the item's own score, so a passage that holds all words of an
 item scores 1 for it, and one threshold fits items of any length.
 
@@ -16,13 +16,20 @@ runs of five words, and some of the question and of the answer. The answer is
 what follows the last question mark, else the last line, else the last quarter of
 the words. Words are runs of letters, digits and underscores, lower-cased.
 
+An item of fewer than five words has no run to confirm it by, so it matches only a
+text that has its words and no others.
+
 The index is sent to all tasks in parts of at most ``PART_ITEMS`` items and
-``PART_CHARS`` characters; more items make more parts, each with a pass over the
-documents. Word statistics are those of all items.
+``PART_CHARS`` characters (a longer item is a part of its own); more items make more
+parts, each with a pass over the documents. An index grows with the words of its
+items, not with items times words. Word statistics are those of all items.
 
 Defined cases: null and empty texts and items without words match nothing;
-documents and items with null id are matched like any other; repeated rows match
-each. Items of one id are one item, of all their texts in turn.
+documents and items with null id are matched like any other; repeated documents match
+each, repeated items (same id and text) once. Texts of one id, or without id, are items
+of their own, so a pair of ids is returned once for each text that matches. Of passages
+with equal scores the first counts. Texts of any length are read whole. Other columns
+play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -55,8 +62,8 @@ def question_and_answer(text: str) -> tuple[list[str], list[str]]:
     cut = text.rfind("?") + 1
     if not 0 < cut < len(text):
         cut = text.rfind("\n")
-    if cut > 0 and (answer := WORD.findall(text[cut:])):
-        return WORD.findall(text[:cut]), answer
+    if cut > 0 and (question := WORD.findall(text[:cut])) and (answer := WORD.findall(text[cut:])):
+        return question, answer
     words = WORD.findall(text)
     cut = len(words) - len(words) // 4
     return words[:cut], words[cut:]
@@ -74,8 +81,9 @@ class Index:
     parts: list[tuple[set, set]] = field(default_factory=list)
     words: dict[str, int] = field(default_factory=dict)
     postings: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)  # item numbers and impacts, by word
-    maxima: np.ndarray | None = None  # word by block of items: largest impact
-    most: np.ndarray | None = None  # by word: largest impact
+    maxima: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)  # blocks and their largest impacts, by word
+    most: np.ndarray = field(default_factory=lambda: np.zeros(0))  # by word: largest impact
+    short: dict[tuple[str, ...], list[int | None]] = field(default_factory=dict)  # ids of items too short for a run
     longest: int = 1
 
 
@@ -87,9 +95,11 @@ def build_index(
     for item_id, text in items:
         question, answer = question_and_answer(text)
         tf = Counter(question + answer)
-        if not tf:
-            continue
         length = tf.total()
+        if length < GRAM:
+            if tf:
+                index.short.setdefault(tuple(question + answer), []).append(item_id)
+            continue
         idf = {w: math.log(1 + (count - frequency[w] + 0.5) / (frequency[w] + 0.5)) for w in tf}
         norm = K1 * (1 - B + B * length / mean)
         impact = {w: idf[w] * n * (K1 + 1) / (n + norm) for w, n in tf.items()}
@@ -99,17 +109,22 @@ def build_index(
         index.longest = max(index.longest, length)
         index.ids.append(item_id)
         index.parts.append((grams(question), grams(answer)))
-    blocks = -(-len(index.ids) // BLOCK)
-    index.maxima = np.zeros((len(lists), blocks), np.float32)
     for w, found in lists.items():
-        place = index.words[w] = len(index.words)
-        numbers, impacts = np.array([n for n, _ in found]), np.array([x for _, x in found])
+        index.words[w] = len(index.words)
+        numbers, impacts = np.array([n for n, _ in found], np.int32), np.array([x for _, x in found])
+        blocks, starts = np.unique(numbers // BLOCK, return_index=True)
         index.postings.append((numbers, impacts))
-        np.maximum.at(index.maxima[place], numbers // BLOCK, impacts.astype(np.float32) * np.float32(1 + 1e-6))
-    index.most = index.maxima.max(axis=1, initial=0)
+        index.maxima.append((blocks, np.maximum.reduceat(impacts, starts)))
+    index.most = np.array([largest.max() for _, largest in index.maxima])
     return index
 
 
+def _largest(maxima: tuple[np.ndarray, np.ndarray], block: int) -> float:
+    """Largest impact of a word in a block; 0 if no item of the block has it."""
+    at = int(np.searchsorted(maxima[0], block))
+    return float(maxima[1][at]) if at < len(maxima[0]) and maxima[0][at] == block else 0.0
+
+
 def wand(index: Index, words: np.ndarray, least: float = THRESHOLD) -> list[tuple[int, float]]:
     """(item number, score) of all items that score ``least`` or more for the distinct ``words`` of a passage."""
     lists = [[0, *index.postings[w], index.maxima[w], float(index.most[w])] for w in words]
@@ -125,10 +140,10 @@ def wand(index: Index, words: np.ndarray, least: float = THRESHOLD) -> list[tupl
                 break
         if pivot is None:
             return found
-        item = lists[pivot][1][lists[pivot][0]]
+        item = int(lists[pivot][1][lists[pivot][0]])
         block = item // BLOCK
         upto = [x for x in lists if x[1][x[0]] <= item]
-        if sum(float(x[3][block]) for x in upto) < edge:
+        if sum(_largest(x[3], block) for x in upto) < edge:
             # nothing in this block before the next list's item: go to whichever comes first
             later = [x[1][x[0]] for x in lists if x[1][x[0]] > item]
             target = min([(block + 1) * BLOCK, *later])
@@ -167,7 +182,8 @@ def candidates(index: Index, known: np.ndarray) -> list[tuple[int, np.ndarray]]:
     out = []
     for k in np.flatnonzero(most >= edge):
         mine = words[starts[k] : starts[k + 1] if k + 1 < len(starts) else None]
-        if (index.maxima[mine].sum(axis=0) >= edge).any():
+        blocks, largest = (np.concatenate(x) for x in zip(*[index.maxima[w] for w in mine], strict=True))
+        if (np.bincount(blocks, weights=largest) >= edge).any():
             out.append((int(passage[starts[k]]), mine))
     return out
 
@@ -175,6 +191,7 @@ def candidates(index: Index, known: np.ndarray) -> list[tuple[int, np.ndarray]]:
 def matches(index: Index, text: str) -> list[tuple[int | None, int, float, float, float]]:
     """(item id, passage, score, overlaps with question and answer) of a text, the best passage of each item."""
     words = WORD.findall(text.lower())
+    whole = [(item_id, 0, 1.0, 1.0, 1.0) for item_id in index.short.get(tuple(words), ())] if len(words) < GRAM else []
     known = np.array(list(map(index.words.get, words, repeat(-1))), np.int64)
     best: dict[int, tuple] = {}
     for passage, mine in candidates(index, known):
@@ -187,10 +204,10 @@ def matches(index: Index, text: str) -> list[tuple[int | None, int, float, float
             question, answer = index.parts[item]
             shared = [_shared(part, have, words[low : low + 2 * index.longest]) for part in (question, answer)]
             total = sum(shared) / (len(question) + len(answer))
-            parts = [s / len(p) if p else 1.0 for s, p in zip(shared, (question, answer), strict=True)]
+            parts = [s / len(p) for s, p in zip(shared, (question, answer), strict=True)]
             if total >= OVERLAP and min(parts) > 0 and (item not in best or best[item][1] < score):
                 best[item] = (passage, score, *parts)
-    return [(index.ids[item], *found) for item, found in sorted(best.items())]
+    return whole + [(index.ids[item], *found) for item, found in sorted(best.items())]
 
 
 def _shared(part: set, have: set, words: list[str]) -> int:
@@ -203,30 +220,31 @@ def _shared(part: set, have: set, words: list[str]) -> int:
 
 def _index_parts(items: DataFrame) -> Iterator[Index]:
     """Indexes of bounded parts of the items (item_id, text)."""
-    rows = items.where("text is not null").select("item_id", "text")
-    texts = rows.groupBy("item_id").agg(F.concat_ws("\n", F.array_sort(F.collect_list("text"))).alias("text"))
-    words = texts.select("item_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)\w+"), 0)).alias("word"))
-    size = texts.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
-    parts = max(1, math.ceil(2 * size.n / PART_ITEMS), math.ceil(2 * size.chars / PART_CHARS))
-    lengths = words.groupBy("item_id").agg(F.count("*").alias("n")).agg(F.sum("n").alias("all"), F.max("n").alias("most"))
-    lengths = lengths.first()
-    mean = (lengths.all or 0) / max(1, size.n)
-    part_of = F.pmod(F.xxhash64("item_id"), F.lit(parts))
+    texts = items.where("text is not null").select("item_id", "text").distinct()
+    found = F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)\w+"), 0)
+    words = texts.select(F.xxhash64("item_id", "text").alias("hash"), found.alias("words"))
+    size = words.agg(
+        F.count("*").alias("n"), F.sum(F.size("words")).alias("words"), F.max(F.size("words")).alias("longest")
+    ).first()
+    parts = 1
+    while True:  # ends: different rows have different hashes, and one row is a part of any size
+        part_of = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
+        sizes = texts.groupBy(part_of.alias("part")).agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
+        if sizes.where((F.col("n") > PART_ITEMS) | ((F.col("chars") > PART_CHARS) & (F.col("n") > 1))).isEmpty():
+            break
+        parts *= 2
     for part in range(parts):
-        mine = texts.where(part_of == part).limit(PART_ITEMS + 1).collect()
-        if len(mine) > PART_ITEMS:
-            raise ValueError("too many items in one part")
-        mine = sorted(((r.item_id, r.text) for r in mine), key=lambda r: (r[0] is not None, r[0]))
-        own = {w for _, t in mine for w in WORD.findall(t.lower())}
-        if not own:
+        mine = texts.where(part_of == part).collect()
+        mine = sorted(((r.item_id, r.text) for r in mine), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+        frequency = Counter(w for _, t in mine for w in set(WORD.findall(t.lower())))
+        if not frequency:
             continue
-        if parts == 1:
-            frequency = Counter(w for _, t in mine for w in set(WORD.findall(t.lower())))
-        else:
-            held = words.where(part_of == part).select("word").distinct()
-            counted = words.distinct().join(held, "word", "left_semi").groupBy("word").count()
-            frequency = Counter({r.word: r["count"] for r in counted.collect()})
-        yield build_index(mine, {w: max(1, frequency[w]) for w in own}, size.n, max(1.0, mean), lengths.most or 1)
+        if parts > 1:
+            held = words.where(F.pmod("hash", F.lit(parts)) == part).select(F.explode("words").alias("word")).distinct()
+            each = words.select(F.explode(F.array_distinct("words")).alias("word"))
+            counted = each.join(held, "word", "left_semi").groupBy("word").count()
+            frequency |= Counter({r.word: r["count"] for r in counted.collect()})
+        yield build_index(mine, frequency, size.n, max(1.0, size.words / size.n), size.longest)
 
 
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:

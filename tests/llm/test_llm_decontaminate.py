@@ -84,6 +84,30 @@ def test_edges(spark):
     assert dc.contaminated(spark.createDataFrame([], DOC), spark.createDataFrame(bench, ITEM)).count() == 0
 
 
+def test_items_of_one_id_or_none(spark):
+    one = "which river runs through the old town of stone? the green one"
+    two = "who lit the lamp in the garden of glass? nobody at all"
+    docs = [(1, f"a b {one} c d", 0), (2, f"e f {two} g h", 0), (3, "Paris is a town in which the river runs", 0), (4, "paris!", 0)]
+    for ids in ((7, 8), (7, 7), (None, None)):
+        bench = [(ids[0], one), (ids[1], two), (ids[1], two), (9, "Paris"), (10, "?\n")]
+        rows = dc.contaminated(spark.createDataFrame(docs, DOC), spark.createDataFrame(bench, ITEM)).collect()
+        assert sorted((r.doc_id, r.item_id) for r in rows) == [(1, ids[0]), (2, ids[1]), (4, 9)]
+
+
+def test_index_holds_no_table_of_words_by_blocks():
+    index = index_of(items(random.Random(3), 600))
+    postings = sum(len(numbers) for numbers, _ in index.postings)
+    assert sum(len(blocks) for blocks, _ in index.maxima) <= postings < len(index.words) * (600 // dc.BLOCK) / 4
+
+
+def test_one_item_longer_than_a_part(spark, monkeypatch):
+    monkeypatch.setattr(dc, "PART_CHARS", 300)
+    bench = items(random.Random(9), 12) + [(99, " ".join(f"long{i}" for i in range(400)) + "? so it is")]
+    docs = [(i, text, 0) for i, text in bench]
+    rows = dc.contaminated(spark.createDataFrame(docs, DOC), spark.createDataFrame(bench, ITEM)).collect()
+    assert {(i, i) for i, _ in bench} == {(r.doc_id, r.item_id) for r in rows}
+
+
 def test_query(spark):
     sf_dir = "/root/testdata/sf0.001"
     found = {(r.doc_id, r.item_id) for r in QUERIES["op6_decontaminate"](spark, sf_dir).collect()}
