@@ -167,9 +167,30 @@ def read_digests(messages: DataFrame) -> DataFrame:
 
 
 def as_log(conversations: DataFrame) -> DataFrame:
-    """Event log of finished conversations: each row is one message, in the order of turn, role and text."""
+    """Event log of conversations as they may have been written: one message for each row, by turn, role and text.
+
+    A message is a draft of its first half, which an edit, or a regeneration of the
+    assistant, takes back, and then the halves of its text as deltas (a later one
+    names no role). Formatting the log gives the rows again.
+    """
     order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
     place = F.row_number().over(order).cast("long")
-    return conversations.select("conv_id", "turn", "role", "text").select(
-        "conv_id", place.alias("seq"), place.alias("turn"), F.lit("delta").alias("kind"), "role", "text"
+    rows = conversations.select("conv_id", "role", "text", place.alias("place"))
+    half = (F.length("text") / 2).cast("int")
+    first, second = F.substring("text", F.lit(1), half), F.substring("text", half + 1, F.length("text"))
+    again = F.coalesce(F.col("role") == "assistant", F.lit(False))
+    none = F.lit(None).cast("string")
+    steps = (
+        (F.lit("delta"), F.col("role"), first),
+        (F.when(again, "regenerate").otherwise("edit"), F.col("role"), F.when(~again, first)),
+        (F.lit("delta"), F.when(again, F.col("role")), F.when(again, first)),
+        (F.lit("delta"), none, second),
+    )
+    log = F.array(
+        *[
+            F.struct((4 * F.col("place") + k).alias("seq"), kind.alias("kind"), role.alias("role"), text.alias("text"))
+            for k, (kind, role, text) in enumerate(steps)
+        ]
     )
+    rows = rows.select("conv_id", F.col("place").alias("turn"), F.explode(log).alias("step"))
+    return rows.select("conv_id", "step.seq", "turn", "step.kind", "step.role", "step.text")

@@ -27,6 +27,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(name: str, *frames: DataFrame) -> str:
+    """``name``, with as many underscores behind it as no column of the frames has."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 _HELD: dict[str, Callable[[], None]] = {}
 
 

@@ -2,9 +2,9 @@
 
 Training counts words, and character n-grams of them, per language over a bounded
 sample of labelled rows: about ``sample_docs`` rows of each language, chosen by a
-hash of their id, or all if there are fewer. The ``max_words`` most frequent words
-and ``max_grams`` most frequent n-grams make the model, so its size is bounded
-and it may be broadcast.
+hash of their id, or all if there are fewer. Each language gives its most frequent
+words and n-grams, an equal share of ``max_words`` and ``max_grams``, so a language with
+little text has as many as any other; the model's size is bounded and it may be broadcast.
 
 Scoring adds up a vector of log frequencies per word of the whole text. A word of
 the model has its own; another one has the mean over its longest n-grams that the
@@ -25,10 +25,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import hold
+from eventloom.llm.common import fresh, hold
 
 UNKNOWN = "und"
 LONGEST = 5
@@ -91,9 +91,12 @@ def train(
     grams = words.select("lang", F.explode(_grams(F.col("token"))).alias("token"), "n")
 
     def most_frequent(counted: DataFrame, most: int) -> list:
-        per_token = counted.groupBy("token", "lang").agg(F.sum("n").alias("n")).groupBy("token")
-        ranked = per_token.agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by"))
-        return ranked.orderBy(F.desc("total"), "token").limit(most).collect()
+        """Tokens among the ``most / languages`` most frequent ones of some language, with their counts in all."""
+        counted = counted.groupBy("token", "lang").agg(F.sum("n").alias("n"))
+        rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "token"))
+        chosen = counted.withColumn("rank", rank).where(F.col("rank") <= max(1, most // len(languages)))
+        kept = counted.join(chosen.select("token").distinct(), "token", "left_semi").groupBy("token")
+        return kept.agg(F.collect_list(F.struct("lang", "n")).alias("by")).orderBy("token").collect()
 
     place = {name: i for i, name in enumerate(languages)}
     tokens, tables = {}, []
@@ -199,7 +202,10 @@ def teachable(docs: DataFrame) -> DataFrame:
 
 
 def predict(docs: DataFrame) -> DataFrame:
-    """All rows with a column ``language_found`` of (lang, score), learned from the rows not held out."""
+    """All rows with a column ``language_found`` of (lang, score), learned from the rows not held out.
+
+    An input column of that name is replaced; all others are kept as they are.
+    """
     return docs.withColumn("language_found", identify(docs, train(teachable(docs))))
 
 
@@ -211,6 +217,7 @@ def recognised(docs: DataFrame, margin: float = 1.2) -> DataFrame:
     """
     model = train(teachable(docs))
     least = min(0.999, margin / max(1, len(model.languages)))
-    found = docs.withColumn("language_found", identify(docs, model))
-    known = (F.col("language_found.lang") != UNKNOWN) & (F.col("language_found.score") >= least)
+    name = fresh("language_found", docs)
+    found = docs.withColumn(name, identify(docs, model))
+    known = (F.col(f"{name}.lang") != UNKNOWN) & (F.col(f"{name}.score") >= least)
     return found.where(known).select(*docs.columns)

@@ -85,3 +85,15 @@ def test_repeated_rows_and_extra_columns(spark):
     digest = chat.read_digests(chat.format_chats(chat.as_log(table))).collect()
     assert [(r.conv_id, r.n_turns) for r in digest] == [(5, 3)]
     assert digest[0].turns_sha256 == hashlib.sha256(b"user\n\nuser\na\nuser\na\n").hexdigest()
+
+
+def test_log_of_conversations_gives_them_back(spark):
+    rows = [(1, 0, "user", "hello there"), (1, 1, "assistant", "x"), (1, 1, "assistant", "x"), (1, None, "system", None)]
+    rows += [(1, 2, None, "<|im_end|>"), (1, 3, "assistant", ""), (None, 0, "assistant", "abc")]
+    log = chat.as_log(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert {r.kind for r in log.collect()} == {"delta", "edit", "regenerate"} and log.count() == 4 * len(rows)
+    found = {}
+    for r in chat.format_chats(log).orderBy("conv_id", "pos").collect():
+        found.setdefault(r.conv_id, []).append(chat.parse(r.formatted))
+    want = [("system", ""), ("user", "hello there"), ("assistant", "x"), ("assistant", "x"), ("", "<|im_end|>"), ("assistant", "")]
+    assert found == {1: want, None: [("assistant", "abc")]}

@@ -63,3 +63,13 @@ def test_empty_table(spark):
     for name, stage in cp.STAGES:
         docs = cp.stored(stage(spark, docs, SF_DIR), name)
         assert docs.count() == 0
+
+
+def test_clashing_names_and_no_n_chars(spark):
+    names = "doc_id long, text string, lang string, dropped_id string, language_found string, found_id string, found_places int"
+    prose = " ".join(f"the{i} and{i % 7} of{i % 11}" for i in range(40))
+    rows = [(1, prose, "en", "a", "b", "c", 1), (2, prose, "en", "d", "e", "f", 2), (3, "12", None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, names)
+    for name, stage in cp.STAGES[:-1]:
+        docs = cp.stored(stage(spark, docs, SF_DIR), name)
+    assert [tuple(r) for r in docs.collect()] == [rows[0]]
