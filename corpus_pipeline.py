@@ -4,7 +4,8 @@
 and returns a DataFrame; all but the last return the columns of documents. Each
 stage works on all rows that the one before it kept.
 
-Rows with null doc_id pass the stages that drop documents by their id, as they
+Columns other than doc_id, text, lang and n_chars are kept as they are, whatever their
+names; n_chars follows the text, if there is such a column. Rows with null doc_id pass the stages that drop documents by their id, as they
 cannot be named; the first stage drops any row without letters.
 """
 
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.llm import decontaminate, langid, neardup, passages
-from eventloom.llm.common import stored
+from eventloom.llm.common import fresh, stored
 from eventloom.llm.queries import encoded, table
 from eventloom.session import configure
 
@@ -24,10 +25,12 @@ SENT_IDS = 1_000_000
 
 def _drop(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """``docs`` without the documents named in ``ids`` (dropped_id)."""
+    name = fresh("dropped_id", docs)
     ids = stored(ids.where("dropped_id is not null").distinct(), "dropped")
     if ids.count() <= SENT_IDS:
         ids = F.broadcast(ids)
-    return docs.join(ids, F.col("doc_id") == F.col("dropped_id"), "left_anti")
+    ids = ids.withColumnRenamed("dropped_id", name)
+    return docs.join(ids, F.col("doc_id") == F.col(name), "left_anti")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,7 +46,9 @@ def minhash_neardup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes repeated paragraphs from all documents but the first that has them, and documents of nothing else."""
     cleaned = passages.remove_repeats(docs, passages.members(docs)).where(F.trim("text") != "")
-    return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    if "n_chars" in docs.columns:
+        cleaned = cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return cleaned.select(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
