@@ -20,7 +20,7 @@ RUNTIME_SETTINGS = {
     # tables in parts name hundreds of folders; a job for their listing takes longer than the listing
     "spark.sql.sources.parallelPartitionDiscovery.threshold": "512",
     # batches of long texts for Python workers stay small, whatever their number of rows
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 * 1024 * 1024),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 * 1024 * 1024),
 }
 
 
