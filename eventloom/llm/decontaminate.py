@@ -51,6 +51,7 @@ THRESHOLD = 0.6
 OVERLAP = 0.8
 GRAM = 5
 BLOCK = 4
+SUMS = 1 << 18  # sums of block maxima held at a time
 PART_ITEMS, PART_CHARS = 20_000, 1 << 24
 WORD = re.compile(r"\w+")
 MATCHES = "doc_id long, item_id long, passage int, score double, question_overlap double, answer_overlap double"
@@ -82,6 +83,9 @@ class Index:
     words: dict[str, int] = field(default_factory=dict)
     postings: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)  # item numbers and impacts, by word
     maxima: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)  # blocks and their largest impacts, by word
+    at: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))  # where each word's maxima start in the next two
+    blocks: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    largest: np.ndarray = field(default_factory=lambda: np.zeros(0))
     most: np.ndarray = field(default_factory=lambda: np.zeros(0))  # by word: largest impact
     short: dict[tuple[str, ...], list[int | None]] = field(default_factory=dict)  # ids of items too short for a run
     longest: int = 1
@@ -116,6 +120,9 @@ def build_index(
         index.postings.append((numbers, impacts))
         index.maxima.append((blocks, np.maximum.reduceat(impacts, starts)))
     index.most = np.array([largest.max() for _, largest in index.maxima])
+    if lists:
+        index.blocks, index.largest = (np.concatenate(x) for x in zip(*index.maxima, strict=True))
+        index.at = np.concatenate(([0], np.cumsum([len(x) for x, _ in index.maxima])))
     return index
 
 
@@ -179,15 +186,28 @@ def candidates(index: Index, known: np.ndarray) -> list[tuple[int, np.ndarray]]:
     starts = np.flatnonzero(np.diff(passage, prepend=-1))
     edge = THRESHOLD - 1e-4
     most = np.add.reduceat(index.most[words], starts)
+    ends = np.append(starts[1:], len(words))
+    blocks = -(-len(index.ids) // BLOCK)
+    bounded = np.flatnonzero(most >= edge)
     out = []
-    for k in np.flatnonzero(most >= edge):
-        mine = words[starts[k] : starts[k + 1] if k + 1 < len(starts) else None]
-        blocks, largest = (np.concatenate(x) for x in zip(*[index.maxima[w] for w in mine], strict=True))
-        if (np.bincount(blocks, weights=largest) >= edge).any():
-            out.append((int(passage[starts[k]]), mine))
+    for low in range(0, len(bounded), step := max(1, SUMS // blocks)):
+        some = bounded[low : low + step]
+        rows, at = _ranges(starts[some], ends[some])
+        mine, of = _ranges(index.at[words[at]], index.at[words[at] + 1])
+        sums = np.bincount(rows[mine] * blocks + index.blocks[of], index.largest[of], len(some) * blocks)
+        for k in some[(sums.reshape(-1, blocks) >= edge).any(axis=1)]:
+            out.append((int(passage[starts[k]]), words[starts[k] : ends[k]]))
     return out
 
 
+def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all ranges in turn, behind the number of the range of each."""
+    sizes = ends - starts
+    upto = np.cumsum(sizes)
+    rows = np.repeat(np.arange(len(sizes)), sizes)
+    return rows, np.arange(len(rows)) + (starts - upto + sizes)[rows]
+
+
 def matches(index: Index, text: str) -> list[tuple[int | None, int, float, float, float]]:
     """(item id, passage, score, overlaps with question and answer) of a text, the best passage of each item."""
     words = WORD.findall(text.lower())
