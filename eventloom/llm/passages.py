@@ -8,8 +8,10 @@ classes of similarity 0.8 share a bucket with probability 1 - (1 - 0.8 ** 3) **
 buckets with three or more also go through a prefix filter: two sets of similarity
 0.8 share one of the 0.2 n + 1 rarest shingles of each, and all classes with such
 a shingle are paired with the least of them. Where such classes are still in different
-components, each is paired with ``HEADS`` more of them, chosen by a hash, of other components; up to
-``HEADS`` + 1 classes are thus paired completely. No bucket is cut or left out. Pairs are
+components, each is first paired with ``HEADS`` more of them, chosen by a hash, which joins most of a
+large group; then all pairs of different components that are left are taken, so no link between
+classes that went through the filter is lost. These are dealt in squares of ``BLOCK`` times ``BLOCK`` classes, and
+those are left out whose sizes or places in the order of rarity rule out a similarity of 0.8. Pairs are
 confirmed by exact Jaccard similarity of their shingles, and confirmed links are joined to components.
 
 Passages that are no paragraphs of their own are found by windows of ``LENGTH`` words,
@@ -54,6 +56,7 @@ LENGTH, REACH = 24, 28
 SHINGLE = 5
 BANDS, ROWS = 8, 3
 HEADS = 16
+BLOCK = 256
 #: Rows and paragraphs of a side that may be sent to all tasks; a larger one is joined by shuffle.
 SENT_ROWS, SENT_PLACES = 500_000, 4_000_000
 AROUND = REACH - 1
@@ -248,8 +251,10 @@ def _candidates(docs: DataFrame, places: DataFrame, classes: DataFrame) -> tuple
     ranked = counted.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("ranked"))
     prefix = F.expr("size - ceil(0.8BD * size) + 1 - (size - size(ranked))")
     ranked = ranked.join(sizes, "key").withColumn("prefix", F.greatest(prefix, F.lit(0)).cast("int"))
-    ranked = ranked.select("key", F.explode(F.slice("ranked", F.lit(1), "prefix")["token"]).alias("token"))
-    ranked = stored(ranked, "prefixes")
+    # shingles of this set only are in front of all others
+    own = F.col("size") - F.size("ranked")
+    ranked = ranked.select("key", "size", own.alias("own"), F.posexplode(F.slice("ranked", F.lit(1), "prefix")["token"]).alias("at", "token"))
+    ranked = stored(ranked.select("token", "key", "size", (F.col("own") + F.col("at")).alias("at")), "prefixes")
     return met.where("head <> key").select(F.col("head").alias("a"), F.col("key").alias("b")), ranked, contents
 
 
@@ -266,24 +271,55 @@ def _similar(pairs: DataFrame, contents: DataFrame) -> DataFrame:
     return stored(pairs.select("a", "b"), "similar")
 
 
+def _mixed(tokens: DataFrame, part: DataFrame) -> DataFrame:
+    """``tokens`` with the component (``part``) of each class, of those shared by classes of several components."""
+    named = tokens.join(part, F.col("key") == F.col("node"), "left").drop("node")
+    named = stored(named.withColumn("part", F.coalesce("component", "key")).drop("component"), "named")
+    shared = named.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("n"))
+    return named.join(shared.where("low < high").select("token", "n"), "token")
+
+
+def _apart(mixed: DataFrame) -> DataFrame:
+    """(a, b) of all classes of ``mixed`` (of ``_mixed``) that share a token, are of different components and may be similar.
+
+    A token's classes are dealt to blocks of about ``BLOCK``, and its pairs to tasks by two blocks.
+    """
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    dealt = mixed.withColumn("block", F.pmod(F.xxhash64("key", "token"), blocks).cast("int")).withColumn("blocks", blocks)
+    first = F.explode(F.sequence("block", F.col("blocks") - 1))
+    second = F.explode(F.sequence(F.lit(0), "block"))
+    columns = ["key", "size", "at", "part"]
+    left = dealt.select("token", F.col("block").alias("i"), first.alias("j"), *[F.col(c).alias(f"{c}_a") for c in columns])
+    right = dealt.select("token", second.alias("i"), F.col("block").alias("j"), *[F.col(c).alias(f"{c}_b") for c in columns])
+    pairs = left.join(right, ["token", "i", "j"]).where("part_a <> part_b and (i < j or key_a < key_b)")
+    pairs = pairs.where("100 * least(size_a, size_b) >= 80 * greatest(size_a, size_b)")
+    # shingles in common are at most the rest of either set from the first one in common on
+    pairs = pairs.where("180 * least(size_a - at_a, size_b - at_b) >= 80 * (size_a + size_b)")
+    return pairs.select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b"))
+
+
 def _linked(docs: DataFrame, places: DataFrame, classes: DataFrame) -> DataFrame:
     """(node, component) of the keys of lines that are linked to others, as in ``components``."""
     pairs, tokens, contents = _candidates(docs, places, classes)
     least = tokens.groupBy("token").agg(F.min("key").alias("a"))
     stars = tokens.join(least, "token").where("a <> key").select("a", F.col("key").alias("b"))
-    links = _similar(pairs.unionByName(stars), contents)
-    part = components(links)
-    named = tokens.join(part, F.col("key") == F.col("node"), "left")
-    named = stored(named.select("token", "key", F.coalesce("component", "key").alias("part")), "named")
-    mixed = named.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
-    named = named.join(mixed.select("token"), "token")
+    part = components(_similar(pairs.unionByName(stars), contents))
+
+    def joined(more: DataFrame) -> DataFrame:
+        # parts stand for what was linked before
+        return components(more.unionByName(part.toDF("a", "b"))) if more.head(1) else part
+
+    named = stored(_mixed(tokens, part), "mixed")
     order = Window.partitionBy("token").orderBy(F.xxhash64("token", "key"), "key")
-    heads = named.withColumn("n", F.row_number().over(order)).where(F.col("n") <= HEADS)
+    large = named.where(F.col("n") > HEADS + 1)
+    heads = large.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= HEADS)
     heads = heads.select("token", F.col("key").alias("a"), F.col("part").alias("part_a"))
-    more = named.join(heads, "token").where("part <> part_a")
-    more = _similar(more.select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b")), contents)
-    # parts stand for what was linked before
-    return components(more.unionByName(part.toDF("a", "b"))) if more.head(1) else part
+    more = large.join(heads, "token").where("part <> part_a")
+    more = more.select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b"))
+    if large.head(1):
+        part = joined(_similar(more, contents))
+        named = stored(_mixed(named.select(tokens.columns), part), "mixed")
+    return joined(_similar(_apart(named), contents))
 
 
 def repeats(docs: DataFrame) -> DataFrame:

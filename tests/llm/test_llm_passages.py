@@ -149,6 +149,33 @@ def test_many_small_groups_that_are_almost_similar(spark):
     assert all(w <= may[d] for d, w in gone.items())
 
 
+def test_no_link_of_a_large_group_is_lost(spark):
+    """The same and no removal missed, in two such groups."""
+    texts = family(random.Random(6), 50, 300, 0) | family(random.Random(8), 40, 280, 1000)
+    must, may = brute(texts)
+    got, _ = found(spark, list(texts.items()))
+    gone = {d: {w for a, b in passages.spans_of(p) for w in range(a, b)} for d, (_, p) in got.items()}
+    assert len(must) > 200
+    assert all(w <= gone.get(d, set()) for d, w in must.items())
+    assert all(w <= may[d] for d, w in gone.items())
+
+
+def test_pairs_of_a_token_are_each_met_once(spark):
+    """All pairs of different components, over squares of blocks, but those whose sizes or places rule them out."""
+    rows = [(t, k, 100 + k % 50, k % 3, k % 7) for t, n in ((1, 600), (2, 5)) for k in range(n)]
+    rows.append((3, 1000, 100, 90, 1))
+    rows.append((3, 1001, 100, 0, 2))  # from place 90 on at most 10 of 100 are in common
+    tokens = spark.createDataFrame(rows, "token long, key long, size int, at int, component long")
+    part = tokens.select(tokens.key.alias("node"), "component").distinct()
+    pairs = [tuple(r) for r in passages._apart(passages._mixed(tokens.drop("component"), part)).collect()]
+    want = []
+    for (t, a, n, i, p), (u, b, m, j, q) in combinations(rows, 2):
+        if t == u and p != q and 100 * min(n, m) >= 80 * max(n, m) and 180 * min(n - i, m - j) >= 80 * (n + m):
+            want.append((a, b))
+    assert len(want) > 10000
+    assert sorted(pairs) == sorted(want)
+
+
 def test_similar_lines_of_all_sizes(spark):
     """Lines with one word changed near an end, in twos and in a family of hundreds, among lines that share half their words."""
     rng = random.Random(2)
