@@ -130,6 +130,11 @@ def unnest(bronze: DataFrame, event_type: str, start: str = ARCHIVE_START) -> Da
     return one_per_event(unnest_copies(bronze, event_type, start))
 
 
+def first_time(bronze: DataFrame, event_type: str, start: str = ARCHIVE_START) -> Column:
+    """Earliest time of the events of one type; that of their copies, so nothing is parsed, deduplicated or flagged."""
+    return unnest_copies(bronze, event_type, start).agg(F.min("event_created_at")).scalar()
+
+
 def flag_bots(unnested: DataFrame, seed: DataFrame) -> DataFrame:
     """Flags for the acting account and, on pull requests, for the author."""
     flagged = with_bot_flag(unnested, "actor_login", seed, "is_bot_actor")

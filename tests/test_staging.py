@@ -113,3 +113,17 @@ def test_pull_request_comments_are_told_from_issue_comments(spark, archive, seed
     archive.comment("b", 7, "2015-03-01T10:00:00", BOB, on_pull_request=False)
     staged = staging.stage_issue_comments(archive.frame(spark), seed)
     assert rows(staged, "event_id", "issue_number", "is_pr_comment") == [("a", 7, True), ("b", 7, False)]
+
+
+def test_first_time_is_that_of_the_staged_rows_and_needs_no_shuffle_of_them(spark, archive, seed):
+    archive.opened("a", 1, "2015-03-01T10:00:00", ANN)
+    archive.opened("a", 1, "2015-03-01T10:00:00", ANN, hour=9)
+    archive.opened(None, 2, "2015-02-01T10:00:00", BOB)
+    archive.add("b", "WatchEvent", "2015-01-01T10:00:00", ANN, "{}")
+    archive.opened("c", 3, "2014-12-31T10:00:00", BOB)
+    bronze = archive.frame(spark)
+    found = spark.range(1).select(staging.first_time(bronze, "PullRequestEvent").alias("t"))
+    staged = staging.stage_pull_requests(bronze, seed).agg(F.min("event_created_at"))
+    assert found.first()[0] == staged.first()[0] == at("2015-02-01T10:00:00").replace(tzinfo=None)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "hashpartitioning" not in plan

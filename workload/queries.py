@@ -209,7 +209,9 @@ def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lc.pr_lifecycle(_staged(staging.stage_pull_requests, spark, sf_dir), _candidates(spark, sf_dir))
+    prs = _staged(staging.stage_pull_requests, spark, sf_dir)
+    start = staging.first_time(archive(spark, sf_dir), "PullRequestEvent", BEGINNING)
+    return lc.pr_lifecycle(prs, _candidates(spark, sf_dir), start=start)
 
 
 @query
