@@ -548,20 +548,26 @@ def _by_year(spark: SparkSession, sf_dir: str):
     return prs, responses, times[0], max(times[1], last_response)
 
 
+def _responded(responses: DataFrame, end: Column, since: Column | None = None) -> DataFrame:
+    """Rows of responses stored by day that are before ``end``, from ``since`` on; other days' files are not opened."""
+    rows = responses.where((F.col("responded_at") < end) & (F.col("day") <= end.cast("date")))
+    return rows if since is None else rows.where((F.col("responded_at") >= since) & (F.col("day") >= since.cast("date")))
+
+
 @query
 def lifecycle_incremental(spark, sf_dir):
     """The lifecycle table brought up to date once per year with what had landed in it."""
     prs, responses, first, last = _by_year(spark, sf_dir)
     root = scratch_path(spark, "lifecycle")
     for year in range(first, last + 1):
-        end = F.lit(f"{year + 1}-01-01").cast("timestamp")
-        landed, answered = prs.where(F.col("landed_at") < end), responses.where(F.col("responded_at") < end)
+        begin, end = (F.lit(f"{y}-01-01").cast("timestamp") for y in (year, year + 1))
+        landed, answered = prs.where(F.col("landed_at") < end), _responded(responses, end)
         known = landed.drop("landed_at")
         previous = sinks.read_published(spark, root)
         if previous is None:
             rows = lc.pr_lifecycle(known, answered)
         else:
-            new = landed.where(F.year("landed_at") == year), answered.where(F.year("responded_at") == year)
+            new = landed.where(F.year("landed_at") == year), _responded(responses, end, begin)
             rows = lc.pr_lifecycle_update(previous, lc.touched_authors(previous, *new), known, answered)
         sinks.publish(rows, root)
     return sinks.read_published(spark, root)
