@@ -117,7 +117,7 @@ class Encoder:
 
     MOST_WORDS, MOST_CHARS = 1_500_000, 24_000_000
     JOINED = re.compile("[A-Z][^\x00-\u02ff]")
-    SIGN = re.compile(r"(?<=[a-z])([.,])(?= )")
+    SIGN = re.compile(r"([.,])(?<=[a-z].)(?= )")  # the sign first, so that the search leaps from sign to sign
     MARK = "\x01"  # put between words that are encoded together; it is one id
 
     def __init__(self, path: str):
@@ -128,7 +128,7 @@ class Encoder:
             rules = json.load(file)
         self.tokenizer = Tokenizer.from_file(path)
         steps = (rules.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
-        removes_blanks = steps[0].get("behavior") == "Removed" and r"[^\s" in str(steps[0].get("pattern"))
+        removes_blanks = steps[0].get("behavior") == "Removed" and r"[^\s" in (steps[0].get("pattern") or {}).get("Regex", "")
         self.by_words = (rules.get("normalizer") or {}).get("normalizers") == WORD_RULES and removes_blanks
         special = {t["content"]: t["id"] for t in rules.get("added_tokens", ()) if t["special"]}
         # a token found before normalization, wherever it stands
@@ -193,7 +193,9 @@ class Encoder:
         The tokenizer lower-cases; doing it for A-Z before tells only where such a
         letter is joined with a mark behind it. It parts a letter from a sign too.
         """
-        if not self.JOINED.search(text):
+        if text.isascii():
+            text = self.SIGN.sub(r" \1 ", text.lower())
+        elif not self.JOINED.search(text):
             text = self.SIGN.sub(r" \1 ", text.encode().lower().decode())
         if len(self.places) > self.MOST_WORDS or self.chars > self.MOST_CHARS:
             self.forget()

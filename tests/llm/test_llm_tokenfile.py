@@ -47,6 +47,16 @@ def test_special_tokens(text):
     assert tokenfile.encoder(PATH).encode(text).tolist() == whole(text)
 
 
+def test_words_are_kept(monkeypatch):
+    """The rules in the tokenizer's file are known, so a word that came before is not encoded again."""
+    encoder = tokenfile.Encoder(PATH)
+    assert encoder.by_words
+    want = whole("one two, three.")
+    assert encoder.encode("One two, three.").tolist() == want
+    monkeypatch.setattr(encoder, "_ids", None)
+    assert encoder.encode("one Two, three.").tolist() == want
+
+
 def test_other_tokenizers_encode_whole_texts():
     path = public_tokenizers.path("byte_bpe_50k.json")
     fresh = Tokenizer.from_file(path)
