@@ -584,7 +584,7 @@ def lifecycle_with_age_limit(spark, sf_dir):
             spark,
             root,
             prs.where(F.col("landed_at") < end).drop("landed_at"),
-            responses.where(F.col("responded_at") < end),
+            _responded(responses, end),
             lc.LifecycleSettings(max_age_days=365),
             as_of=end,
         )
