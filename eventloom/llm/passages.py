@@ -57,8 +57,8 @@ SHINGLE = 5
 BANDS, ROWS = 8, 3
 HEADS = 16
 BLOCK = 256
-#: Rows and paragraphs of a side that may be sent to all tasks; a larger one is joined by shuffle.
-SENT_ROWS, SENT_PLACES = 500_000, 4_000_000
+#: Rows and paragraphs of a side that may be sent to all tasks (some 32 bytes of the driver's memory each); a larger one is joined by shuffle.
+SENT_ROWS, SENT_PLACES = 250_000, 1_000_000
 AROUND = REACH - 1
 
 _SEEDS = seeds(BANDS * ROWS, 1618033988)
@@ -396,13 +396,39 @@ def without(text: str, places: list[tuple[int, int]]) -> tuple[str, int]:
     return b"".join([*kept, data[at:]]).decode(), words
 
 
+def _spans(places: Column) -> Column:
+    """The (place, size) of ``places`` with those that overlap or touch as one, as in ``spans_of``."""
+    span = pa.struct([("place", pa.int32()), ("size", pa.int32())])
+
+    @F.arrow_udf("array<struct<place: int, size: int>>")
+    def joined(places: pa.Array) -> pa.Array:
+        text = np.repeat(np.arange(len(places)), places.value_lengths().to_numpy())
+        flat = places.flatten()
+        at, size = (flat.field(k).to_numpy().astype(np.int64) for k in range(2))
+        order = np.lexsort((at, text))
+        text, at, size = text[order], at[order], size[order]
+        # texts one behind the other, further apart than any place reaches
+        starts = at + (text << 32)
+        ends = np.maximum.accumulate(starts + size)
+        first = np.flatnonzero(np.diff(text, prepend=-1).astype(bool) | (starts > np.concatenate((starts[:1], ends[:-1]))))
+        sizes = ends[np.append(first[1:], len(ends)) - 1] - starts[first] if len(first) else first
+        found = [pa.array(x.astype(np.int32)) for x in (at[first], sizes)]
+        offsets = pa.array(np.searchsorted(text[first], np.arange(len(places) + 1)).astype(np.int32))
+        return pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(found, fields=list(span)))
+
+    return joined(places)
+
+
 def members(docs: DataFrame) -> DataFrame:
-    """Per document with a repeated paragraph: (doc_id, sources, places to be removed)."""
+    """Per document with a repeated paragraph: (doc_id, sources, places to be removed).
+
+    A long passage is found at each of its words. Its places are one before they are sent to all tasks.
+    """
     found = stored(repeats(docs), "repeats")
     found = found.select("doc_id", "source", "place", "size").unionByName(extended(docs, found))
     removed = F.collect_set(F.when(F.col("source") != F.col("doc_id"), F.struct("place", "size")))
     found = found.groupBy("doc_id").agg(F.array_sort(F.collect_set("source")).alias("sources"), removed.alias("places"))
-    return _small(found)
+    return _small(found.withColumn("places", _spans(F.col("places"))))
 
 
 def _pairs(places: pa.ListScalar) -> list[tuple[int, int]]:

@@ -247,6 +247,16 @@ def test_query(spark):
     assert not {d for d, w in must.items() if w} - set(rows)
 
 
+def test_a_long_passage_is_one_place(spark):
+    """What is sent to all tasks has a row for a passage, not one for each of its words."""
+    rng = random.Random(21)
+    shared, other = prose(rng, 400), prose(rng, 60)
+    rows = [(1, " ".join(prose(rng, 30) + shared)), (2, " ".join(prose(rng, 40) + shared + prose(rng, 70) + other)), (3, " ".join(other))]
+    got, _ = found(spark, rows)
+    assert got[1][1] == [] and got[2][1] == [(40, 400)] and got[3][1] == [(0, 60)]
+    assert found(spark, [(4, None), (5, "a")]) == ({}, [(4, None), (5, "a")])
+
+
 def test_starts_do_not_depend_on_other_texts():
     rng = random.Random(9)
     texts = [" ".join(rng.choices("abcdefgh", k=rng.choice([0, 3, 24, 40, 51, 300]))).encode() for _ in range(60)]
