@@ -37,6 +37,7 @@ from eventloom.llm.common import hold, mix, steps
 
 LONGEST_IN_ARRAYS = 40
 MOST_CHUNKS, MOST_CHARS = 150_000, 4_000_000
+_AT_A_TIME = 1 << 13  # occurrences of chunks looked at together
 SPACE = "▁"
 
 
@@ -77,7 +78,7 @@ class Pieces:
             self.names.append("")
         self.ids, self.size = ids, size
         self.spelled: dict[int, list[int]] = {}
-        self.by_code = -2 - np.arange(0x110000, dtype=np.int64)  # symbol of each character
+        self.by_code = -2 - np.arange(0x110000, dtype=np.int32)  # symbol of each character
         for char, i in ids.items():
             if len(char) == 1:
                 self.by_code[ord(char)] = i
@@ -92,7 +93,6 @@ class Pieces:
                 left, right = ids.get(piece[:cut]), ids.get(piece[cut:])
                 if left is not None and right is not None:
                     merges[left << 32 | right] = ids[piece]
-        self.merges = merges
         self.pairs = np.array(sorted(merges), np.int64)
         self.pair_ranks = ranks[[merges[p] for p in self.pairs.tolist()]]
         self.by_rank = np.array(order, np.int32)
@@ -106,6 +106,12 @@ class Pieces:
         self.places = np.cumsum(self.sizes) - self.sizes
         self.data = np.frombuffer(b"".join(self.texts), np.uint8)
 
+    def merged(self, left: int, right: int) -> int | None:
+        """The piece that two symbols make; None if they make none."""
+        pair = left << 32 | right
+        at = self.pairs.searchsorted(pair)
+        return int(self.by_rank[self.pair_ranks[at]]) if at < len(self.pairs) and self.pairs[at] == pair else None
+
     def symbols(self, text: str) -> np.ndarray:
         """Ids of the characters of a text; a character without one is -2 less its code point."""
         return self.by_code[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
@@ -145,7 +151,7 @@ def agenda(pieces: Pieces, symbols: list[int], key: int, dropout: float, taken:
 
     def candidates(at: list[int]) -> list[tuple[int, int, int, int, int]]:
         pairs = [(i, symbols[i], symbols[right[i]]) for i in at if symbols[i] >= 0 and symbols[right[i]] >= 0]
-        pairs = [(i, a, b, m) for i, a, b in pairs if (m := pieces.merges.get(a << 32 | b)) is not None]
+        pairs = [(i, a, b, m) for i, a, b in pairs if (m := pieces.merged(a, b)) is not None]
         if not pairs:
             return []
         table = np.array([p[:3] for p in pairs])
@@ -329,11 +335,14 @@ class Encoder:
         plain = np.ones(len(at), bool)
         if self.dropout <= 0:
             return plain
-        pairs, sizes = self.taken.of(at)
-        places, _ = self.places.of(at)
-        rows = np.repeat(np.arange(len(at)), sizes)
-        drop = skips(pairs >> np.uint64(32), pairs & np.uint64(2**32 - 1), places, keys[rows], self.dropout)
-        plain[rows[drop]] = False
+        # some at a time: the arrays of all merges of a step are many times its text
+        for low in range(0, len(at), _AT_A_TIME):
+            part = at[low : low + _AT_A_TIME]
+            pairs, sizes = self.taken.of(part)
+            places, _ = self.places.of(part)
+            rows = np.repeat(np.arange(low, low + len(part)), sizes)
+            drop = skips(pairs >> np.uint64(32), pairs & np.uint64(2**32 - 1), places, keys[rows], self.dropout)
+            plain[rows[drop]] = False
         return plain
 
     def encode(self, texts: list[str | None], keys: list[str | None]) -> list[np.ndarray | None]:

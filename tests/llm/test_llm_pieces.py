@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from zlib import crc32
 
 import numpy as np
@@ -103,3 +104,16 @@ def test_query(spark):
     for r in got[:40]:
         ids = work.encode([texts[r.doc_id]], [str(r.doc_id)])[0]
         assert (r.n_pieces, r.ids_crc32, r.lossless) == (len(ids), crc32(ids.astype("<u4").tobytes()), True)
+
+
+def test_memory_does_not_follow_the_merges_of_a_step():
+    work = pieces.Encoder(PATH, 0.1, 0)
+    work._learn([" international", " words"])
+    at, keys = np.tile([0, 1], 100_000), pieces.mix(np.arange(200_000, dtype=np.uint64))
+    whole = work._plain(at, keys)
+    assert 0 < whole.sum() < len(whole) and (work._plain(at[:999], keys[:999]) == whole[:999]).all()
+    tracemalloc.start()
+    work._plain(at, keys)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20_000_000
