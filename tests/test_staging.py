@@ -127,3 +127,15 @@ def test_first_time_is_that_of_the_staged_rows_and_needs_no_shuffle_of_them(spar
     assert found.first()[0] == staged.first()[0] == at("2015-02-01T10:00:00").replace(tzinfo=None)
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "hashpartitioning" not in plan
+
+
+def test_orders_of_one_row_group_are_dealt_to_all_cores(spark, tmp_path):
+    from workload.archive import spread, table
+
+    spark.range(200).coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    rows = table(spark, str(tmp_path), "orders")
+    dealt = spread(rows)
+    tasks = {r.part: r.n for r in dealt.groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("n")).collect()}
+    assert len(tasks) >= spark.sparkContext.defaultParallelism
+    assert sum(tasks.values()) == 200
+    assert sorted(r.id for r in dealt.collect()) == list(range(200))

@@ -74,6 +74,11 @@ def _order_repo() -> Column:
     return _repo(order_repo_id(), F.concat(F.lit("priority/"), F.lower(F.expr("substring(o_orderpriority, 3)"))))
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows of a table dealt to three tasks a core: a scan has one for each row group at most."""
+    return rows.repartition(3 * rows.sparkSession.sparkContext.defaultParallelism)
+
+
 def _pull_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     closed = F.col("o_orderstatus") == "P"
     payload = F.struct(
@@ -89,7 +94,7 @@ def _pull_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
             _actor(author_id(), author_login()).alias("user"),
         ).alias("pull_request"),
     )
-    return table(spark, sf_dir, "orders").select(
+    return spread(table(spark, sf_dir, "orders")).select(
         _numbered("P", "o_orderkey").alias("id"),
         F.lit("PullRequestEvent").alias("type"),
         _actor(F.col("o_custkey"), _numbered("user-", "o_custkey")).alias("actor"),
