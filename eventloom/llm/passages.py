@@ -59,6 +59,8 @@ HEADS = 16
 BLOCK = 256
 #: Rows and paragraphs of a side that may be sent to all tasks (some 32 bytes of the driver's memory each); a larger one is joined by shuffle.
 SENT_ROWS, SENT_PLACES = 250_000, 1_000_000
+#: Ids alone that may be sent, so that texts of other documents stay out of a shuffle.
+SENT_IDS = 1_000_000
 AROUND = REACH - 1
 
 _SEEDS = seeds(BANDS * ROWS, 1618033988)
@@ -222,9 +224,26 @@ def _around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _small(found: DataFrame) -> DataFrame:
     """``found`` (with ``places``), marked to be sent to all tasks if it is small enough for that."""
     found = stored(found, "found")
+    return F.broadcast(found) if _fits(found) else found
+
+
+def _fits(found: DataFrame) -> bool:
     size = found.agg(F.count("*").alias("rows"), F.sum(F.size("places")).alias("places")).first()
-    small = size.rows <= SENT_ROWS and (size.places or 0) <= SENT_PLACES
-    return F.broadcast(found) if small else found
+    return size.rows <= SENT_ROWS and (size.places or 0) <= SENT_PLACES
+
+
+def _with_places(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``found`` (one row per doc_id) has places for, with these.
+
+    If ``found`` is too large to be sent, its ids may still be: texts of other documents then stay out of the shuffle.
+    """
+    found = stored(found, "found").withColumnRenamed("doc_id", "named")
+    same = F.col("doc_id") == F.col("named")
+    if _fits(found):
+        return docs.join(F.broadcast(found), same).drop("named")
+    if found.count() <= SENT_IDS:
+        docs = docs.join(F.broadcast(found.select("named")), same, "left_semi")
+    return docs.join(found, same).drop("named")
 
 
 def _candidates(docs: DataFrame, places: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -240,8 +259,7 @@ def _candidates(docs: DataFrame, places: DataFrame, classes: DataFrame) -> tuple
     keys = met.groupBy("key").agg(F.max("crowded").alias("crowded"))
     wanted = classes.join(keys, "key").select("key", "crowded", F.col("first").alias("doc_id"))
     wanted = places.where("line").join(wanted, ["key", "doc_id"]).groupBy("key", "doc_id").agg(F.min("place").alias("place"))
-    wanted = _small(wanted.groupBy("doc_id").agg(F.collect_list("place").alias("places")))
-    texts = docs.select(F.col("doc_id").alias("doc"), "text").join(wanted, F.col("doc") == F.col("doc_id"))
+    texts = _with_places(docs, wanted.groupBy("doc_id").agg(F.collect_list("place").alias("places")))
     contents = texts.select("text", "places").mapInArrow(_contents, "key long, shingles array<long>")
     contents = stored(contents.dropDuplicates(["key"]), "contents")
     tokens = keys.where("crowded").join(contents, "key").select("key", F.explode("shingles").alias("token"))
@@ -362,9 +380,8 @@ def extended(docs: DataFrame, found: DataFrame) -> DataFrame:
         F.coalesce(F.lead("place").over(order) - F.col("place") > LENGTH, F.lit(True)).alias("after"),
     )
     ends = ends.where("before or after").groupBy("key").agg(F.max("before").alias("before"), F.max("after").alias("after"))
-    places = windows.join(ends, "key").groupBy(F.col("doc_id").alias("doc"))
-    places = _small(places.agg(F.collect_set(F.struct("place", "before", "after")).alias("places")))
-    texts = docs.join(places, F.col("doc_id") == F.col("doc")).select("doc_id", "text", "places")
+    places = windows.join(ends, "key").groupBy("doc_id")
+    texts = _with_places(docs, places.agg(F.collect_set(F.struct("place", "before", "after")).alias("places")))
     near = stored(texts.mapInArrow(_around, "run long, doc_id long, place int"), "around")
     shared = near.groupBy("run").agg(F.min("doc_id").alias("source"), F.max("doc_id").alias("last"))
     near = near.join(shared.where("source < last"), "run").where("source < doc_id")

@@ -283,3 +283,27 @@ def test_lines():
     assert found.key[0] == found.key[2] != found.key[1]
     shingles, begins = found.shingles(np.array([1, 0]))
     assert begins.tolist() == [0, 17] and shingles[:16].tolist() == shingles[17:].tolist()
+
+
+def test_texts_without_places_stay_out_of_the_shuffle(spark, monkeypatch):
+    rows = [(1, "a"), (2, "b"), (2, "b2"), (3, "c"), (None, "d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = spark.createDataFrame([(2, [5, 7]), (4, [1])], "doc_id long, places array<int>")
+    want = [(2, "b", [5, 7]), (2, "b2", [5, 7])]
+    assert sorted(map(tuple, passages._with_places(docs, found).collect())) == want
+    monkeypatch.setattr(passages, "SENT_ROWS", 0)
+    joined = passages._with_places(docs, found)
+    assert sorted(map(tuple, joined.collect())) == want
+    assert "LeftSemi" in joined._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(passages, "SENT_IDS", 0)
+    assert sorted(map(tuple, passages._with_places(docs, found).collect())) == want
+
+
+def test_passages_with_all_joined_by_shuffle(spark, monkeypatch):
+    rng = random.Random(8)
+    line, passage = " ".join(prose(rng, 30)), " ".join(prose(rng, 90))
+    rows = [(1, line), (2, f"{line}\nshort"), (3, f"x {passage} y"), (4, f"{passage} z"), (5, " ".join(prose(rng, 60)))]
+    want = found(spark, rows)
+    monkeypatch.setattr(passages, "SENT_ROWS", 0)
+    assert found(spark, rows) == want
+    assert set(want[0]) == {1, 2, 3, 4}
