@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import fresh, hold
+from eventloom.llm.common import fresh, hold, rest
 
 UNKNOWN = "und"
 LONGEST = 5
@@ -172,8 +172,12 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> Column:
     @F.arrow_udf("struct<lang: string, score: double>")
     def judged(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = _scorer(shared)
-        for batch in texts:
-            yield pa.array([dict(zip(("lang", "score"), scorer.judge(t.as_py()), strict=True)) for t in batch], kind)
+        try:
+            for batch in texts:
+                yield pa.array([dict(zip(("lang", "score"), scorer.judge(t.as_py()), strict=True)) for t in batch], kind)
+        finally:
+            del scorer
+            rest()
 
     return judged(F.col(text))
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import hold, mix, steps
+from eventloom.llm.common import hold, mix, rest, steps
 
 LONGEST_IN_ARRAYS = 40
 MOST_CHUNKS, MOST_CHARS = 150_000, 4_000_000
@@ -385,8 +385,13 @@ def _pieces(path: str) -> Pieces:
     return _PIECES[path]
 
 
+def _forget() -> None:
+    _ENCODERS.clear()
+    _PIECES.clear()
+
+
 def encoder(path: str, dropout: float, seed: int) -> Encoder:
-    hold("pieces", _ENCODERS.clear)
+    hold("pieces", _forget)
     if (path, dropout, seed) not in _ENCODERS:
         _ENCODERS.clear()
         _ENCODERS[path, dropout, seed] = Encoder(path, dropout, seed)
@@ -409,9 +414,13 @@ def encode(text: Column, key: Column, path: str, dropout: float = 0.1, seed: int
     @F.arrow_udf("array<int>")
     def encoded(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         work = encoder(path, dropout, seed)
-        for texts, keys in batches:
-            found = [ids for _, part in _encoded(work, texts, keys) for ids in part]
-            yield pa.array(found, pa.list_(pa.int32()))
+        try:
+            for texts, keys in batches:
+                found = [ids for _, part in _encoded(work, texts, keys) for ids in part]
+                yield pa.array(found, pa.list_(pa.int32()))
+        finally:
+            del work
+            rest()
 
     return encoded(text, key.cast("string"))
 
@@ -448,13 +457,17 @@ def round_trip(text: Column, key: Column, path: str, dropout: float = 0.1, seed:
     @F.arrow_udf("struct<ids: array<int>, ids_crc32: long, lossless: boolean>")
     def judged(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         work = encoder(path, dropout, seed)
-        for texts, keys in batches:
-            ids, sums, same = [], [], []
-            for part, found in _encoded(work, texts, keys):
-                ids += found
-                sums += [0 if i is None else crc32(i.astype("<u4").tobytes()) for i in found]
-                same += [t is None if i is None else work.pieces.decode(i) == t for t, i in zip(part, found, strict=True)]
-            columns = [pa.array(c, t) for c, (_, t) in zip((ids, sums, same), kinds, strict=True)]
-            yield pa.StructArray.from_arrays(columns, [n for n, _ in kinds])
+        try:
+            for texts, keys in batches:
+                ids, sums, same = [], [], []
+                for part, found in _encoded(work, texts, keys):
+                    ids += found
+                    sums += [0 if i is None else crc32(i.astype("<u4").tobytes()) for i in found]
+                    same += [t is None if i is None else work.pieces.decode(i) == t for t, i in zip(part, found, strict=True)]
+                columns = [pa.array(c, t) for c, (_, t) in zip((ids, sums, same), kinds, strict=True)]
+                yield pa.StructArray.from_arrays(columns, [n for n, _ in kinds])
+        finally:
+            del work
+            rest()
 
     return judged(text, key.cast("string"))
